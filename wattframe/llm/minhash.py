@@ -154,7 +154,7 @@ def confirm(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, id_col: str, t
     apart = sum((F.bit_count(F.col("su")[k].bitwiseXOR(F.col("sv")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
     near = near.filter((100 * F.least("nu", "nv") >= 75 * F.greatest("nu", "nv")) & (apart <= MOST_BITS)).select("u", "v")
     near = settle(near, "candidates")
-    wanted = near.select(F.col("u").alias(id_col)).union(near.select(F.col("v").alias(id_col))).distinct()
+    wanted = settle(near.select(F.col("u").alias(id_col)).union(near.select(F.col("v").alias(id_col))).distinct(), "wanted")
     sets = settle(set_documents(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col), "sets")
     held = near.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
     both = F.size(F.array_intersect("a", "b"))
