@@ -301,7 +301,7 @@ def merge_blocks(rows: DataFrame, id_col: str) -> DataFrame:
     """Joins what each benchmark block found in one document: at most one row and its spans from each block."""
 
     def joined(done: Column, x: Column) -> Column:
-        last = F.element_at(done, -1)
+        last = F.try_element_at(done, F.lit(-1))
         wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), last["first_word"].alias("first_word"), F.greatest(last["end_word"], x["end_word"]).alias("end_word"))
         meets = (F.size(done) > 0) & (x["first_word"] <= last["end_word"])
         return F.when(meets, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(x)))

@@ -79,7 +79,7 @@ def entropy_spans(candidate: Column, start: Column, kind: int, alphabet: str, le
         total = a["sum"] + F.when(leaves, weigh(gone - 1) - weigh(gone)).otherwise(F.lit(0.0)) + weigh(had + 1) - weigh(had)
         bits = F.lit(math.log2(WINDOW)) - total / WINDOW
         s, e = start + i - WINDOW, start + i
-        last = F.element_at(a["spans"], -1)
+        last = F.try_element_at(a["spans"], F.lit(-1))
         one = F.struct(s.cast("long").alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
         longer = F.struct(last["s"].alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
         more = F.when((F.size(a["spans"]) > 0) & (last["e"] >= s), F.concat(F.slice(a["spans"], F.lit(1), F.size(a["spans"]) - 1), F.array(longer))).otherwise(F.concat(a["spans"], F.array(one)))
