@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,22 @@ def query(sql: str | None = None, name: str | None = None):
     return keep
 
 
+#: Modules that register queries on import.
+MODULES = ["scalars"]
+
+
+def _load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"wattframe.plans.{name}")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)
 
 
