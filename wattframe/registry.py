@@ -24,7 +24,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 #: Modules that register queries on import.
-MODULES = ["scalars"]
+MODULES = ["scalars", "joins", "windows"]
 
 
 def _load() -> None:
