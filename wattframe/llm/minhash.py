@@ -1,17 +1,19 @@
 """MinHash near-dedup with odd sketches.
 
-1. One pass over whole texts: distinct word shingles as 64-bit hashes, HASHES minimums, ROWS of them to a band, and
-   the odd sketch, a parity bitmap that flips one bit for each minimum. Texts are not shuffled.
+1. One pass over whole texts: distinct word shingles as 64-bit hashes, HASHES minimums of them, ROWS to a band, and the
+   odd sketch, a parity bitmap in which each minimum flips one bit. Texts are not shuffled.
 2. Documents of one shingle set (a 128-bit digest) meet in a representative, by an aggregate with partial sums.
-3. Band buckets of two representatives or more give candidates. Inside a bucket nobody pairs all members: members are
-   held against the bucket's leader (the member that meets most others), and members that are not joined to one
-   another yet are paired between components only, never inside one.
+3. Band buckets of two representatives or more give candidates. Inside a bucket nobody pairs all members. Stars come
+   first: members are held against the bucket's leader, first the one that meets most others, then one drawn from
+   the bucket's largest component. What isn't joined after that is screened in blocks of bounded size: members outside
+   the bucket's largest component against all members of other components, each pair in its first common band only.
 4. The XOR population count of two odd sketches estimates how many minimums differ; pairs clearly under the threshold
-   go. The rest is confirmed exactly on full shingle sets, read again for candidates only.
-5. Components by minimum-label propagation over confirmed links, checkpointed in the shared folder.
+   go. The rest is confirmed exactly on full shingle sets, which are read again for crowded buckets' members only:
+   first the best pair of any two components, then all pairs that still lie between components.
+5. Components by minimum-label propagation over confirmed links, settled in the shared folder each round.
 
-At a similarity of exactly 0.75 all 40 bands miss a pair with a chance of 3e-7, and the sketch rejects it with about
-1e-10; above 0.75 chances fall fast.
+At a similarity of exactly 0.75 all 70 bands miss a pair with a chance of 1e-6 and the sketch rejects it with 1e-7;
+above 0.75 both fall fast.
 
 Words: A-Z lower-cased, then runs of anything but white space (U+0009-U+000D, U+0020). Under five words the whole
 sequence is the one shingle. Null or wordless texts have no shingles and link with nothing. Very long texts count
@@ -25,17 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm.common import LOWER, as_int64, hash_words, mix, settle, text_steps, words_of
 
 SHINGLE = 5
-ROWS, BANDS = 4, 40
+ROWS, BANDS = 6, 70
 HASHES = ROWS * BANDS
-SKETCH_BITS = 512
-#: Bits by which the odd sketches of two documents at the threshold may differ: mean 69, standard deviation 10, and 6.5 of these.
-MOST_BITS = 134
+SKETCH_BITS = 1024
+#: Bits by which the odd sketches of two documents at the threshold may differ: mean 172, standard deviation 15.5, and 5.2 of these.
+MOST_BITS = 253
+#: Members of one block when a bucket is screened.
+OUTER, INNER = 1024, 4096
 #: Bytes of text that one step sketches.
 STEP = 1 << 20
 
@@ -43,8 +47,8 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[9:14] = IS_WORD[32] = False
 
 _rng = np.random.default_rng(75)
-_TIMES = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PLUS = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
+_TIMES = _rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
 _PLACE = _rng.integers(0, 2**63, SHINGLE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALT = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
@@ -81,12 +85,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 def sketches(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Set digests (two columns), band hashes and odd sketches of rows that have shingles."""
     begin = np.cumsum(sizes) - sizes
-    low = np.empty((len(sizes), HASHES), dtype=np.uint64)
-    work = np.empty_like(sets)
+    low = np.empty((HASHES, len(sizes)), dtype=np.uint32)
+    high = (sets >> np.uint64(32)).astype(np.uint32)
+    work = np.empty_like(high)
     for j in range(HASHES):
-        np.multiply(sets, _TIMES[j], out=work)
+        np.multiply(high, _TIMES[j], out=work)
         work += _PLUS[j]
-        low[:, j] = np.minimum.reduceat(work, begin)
+        low[j] = np.minimum.reduceat(work, begin)
+    low = low.T.astype(np.uint64)
     digest = np.stack([np.add.reduceat(mix(sets ^ _SALT[0]), begin), np.add.reduceat(mix(sets + _SALT[1]), begin)], axis=1)
     bands = mix((mix(low + _SALT) * _BAND).reshape(-1, BANDS, ROWS).sum(axis=2) + _SALT[:BANDS])
     bit = (mix(low ^ _BAND) % np.uint64(SKETCH_BITS)).astype(np.int64)
@@ -147,45 +153,109 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def confirm(pairs: DataFrame, sketch: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose similarity is 0.75 or more, exactly. sketch: id, n_shingles, sketch."""
-    side = sketch.select("id", "n_shingles", "sketch")
+def screen(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """The pairs (u, v) that sizes and odd sketches let through, with the bits by which these differ."""
+    side = heads.select("id", "n_shingles", "sketch")
     near = pairs.join(side.toDF("u", "nu", "su"), "u").join(side.toDF("v", "nv", "sv"), "v")
     apart = sum((F.bit_count(F.col("su")[k].bitwiseXOR(F.col("sv")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
-    near = near.filter((100 * F.least("nu", "nv") >= 75 * F.greatest("nu", "nv")) & (apart <= MOST_BITS)).select("u", "v")
-    near = settle(near, "candidates")
-    wanted = settle(near.select(F.col("u").alias(id_col)).union(near.select(F.col("v").alias(id_col))).distinct(), "wanted")
-    sets = settle(set_documents(docs.select(id_col, text_col).join(wanted, id_col, "left_semi"), id_col, text_col), "sets")
-    held = near.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    return near.filter(100 * F.least("nu", "nv") >= 75 * F.greatest("nu", "nv")).select("u", "v", apart.alias("apart")).filter(F.col("apart") <= MOST_BITS)
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose similarity is 0.75 or more, exactly, on full sets."""
+    held = pairs.select("u", "v").join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
     both = F.size(F.array_intersect("a", "b"))
     return held.withColumn("both", both).filter(100 * F.col("both") >= 75 * (F.size("a") + F.size("b") - F.col("both"))).select("u", "v")
 
 
+def _pair(a: str, b: str) -> tuple[Column, Column]:
+    return F.least(a, b).alias("u"), F.greatest(a, b).alias("v")
+
+
+def _open(members: DataFrame, component: DataFrame) -> DataFrame:
+    """band, id, c and main (the largest component there) of members of buckets that hold several components."""
+    inside = members.select("band", "id").join(component, "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
+    parts = inside.groupBy("band", "c").count()
+    mixed = parts.groupBy("band").agg(F.count("*").alias("k"), F.max_by("c", F.struct("count", "c")).alias("main")).filter("k > 1")
+    return inside.join(mixed.select("band", "main"), "band")
+
+
+def screen_blocks(inside: DataFrame, heads: DataFrame) -> DataFrame:
+    """Screened pairs of members of different components in the same bucket, each pair once, in blocks."""
+    kind = heads.schema["id"].dataType.simpleString()
+    wide = inside.join(heads.select("id", "n_shingles", "bands", "sketch"), "id")
+    counts = inside.groupBy("band").agg(F.ceil(F.count_if(F.col("c") != F.col("main")) / OUTER).cast("int").alias("outer"), F.ceil(F.count("*") / INNER).cast("int").alias("inner"))
+    wide = wide.join(counts, "band")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    outside = wide.filter("c <> main").withColumn("i", own("outer")).withColumn("j", every("inner"))
+    outside = outside.select(*[F.col(c).alias(c) for c in outside.columns])
+    inner = wide.withColumn("j", own("inner")).withColumn("i", every("outer"))
+    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "apart": pa.array([], pa.int64())})
+
+    def rows(t: pa.Table) -> tuple[np.ndarray, ...]:
+        flat = lambda c, n: t[c].combine_chunks().flatten().to_numpy().reshape(-1, n)
+        return t["id"].to_numpy(), t["c"].to_numpy(), t["n_shingles"].to_numpy(), flat("bands", BANDS), flat("sketch", SKETCH_BITS // 64), (t["c"].to_numpy() == t["main"].to_numpy())
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return none
+        band = left["band"][0].as_py()
+        ids, comps, sizes, bands, odd, _ = rows(left)
+        ids2, comps2, sizes2, bands2, odd2, main2 = rows(right)
+        out = []
+        for k in range(len(ids)):
+            ok = (comps2 != comps[k]) & (main2 | (ids2 < ids[k])) & (100 * np.minimum(sizes2, sizes[k]) >= 75 * np.maximum(sizes2, sizes[k]))
+            at = np.flatnonzero(ok)
+            apart = np.bitwise_count(odd2[at] ^ odd[k]).sum(axis=1, dtype=np.int64)
+            at, apart = at[apart <= MOST_BITS], apart[apart <= MOST_BITS]
+            first = (bands2[at] == bands[k]).argmax(axis=1)
+            here = bands[k][first] == band
+            at = at[here]
+            out.append((np.minimum(ids2[at], ids[k]), np.maximum(ids2[at], ids[k]), apart[here]))
+        return pa.table(dict(zip(["u", "v", "apart"], (np.concatenate(x) for x in zip(*out, strict=True)), strict=True)))
+
+    return outside.groupBy("band", "i", "j").cogroup(inner.groupBy("band", "i", "j")).applyInArrow(block, f"u {kind}, v {kind}, apart long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, n_shingles, component_id (smallest id reachable over links), kept."""
-    sketched = settle(sketch_documents(docs, id_col, text_col), "sketches")
-    classes = sketched.filter("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("class"))
-    classed = settle(sketched.filter("n_shingles > 0").select("id", "digest").join(classes, "digest").select("id", "class"), "classes")
-    heads = sketched.join(classed.filter("id = class").select("id").distinct(), "id", "left_semi")
+    """One row per document: id_col, n_shingles, component_id (smallest id reachable over links), kept. Ids are integers."""
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    sketched = settle(sketch_documents(docs, "id", "text"), "sketches")
+    some = sketched.filter("n_shingles > 0 and id is not null")
+    classes = some.groupBy("digest").agg(F.min("id").alias("class"))
+    classed = settle(some.select("id", "digest").join(classes, "digest").select("id", "class"), "classes")
+    heads = some.join(classed.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "digest"])
     buckets = heads.select("id", F.explode("bands").alias("band"))
     crowded = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = settle(buckets.join(crowded, "band"), "members")
-    reach = members.groupBy("id").agg(F.sum("n").alias("reach"))
-    members = settle(members.select("band", "id").join(reach, "id"), "reach")
-    leaders = members.groupBy("band").agg(F.max_by("id", F.struct("reach", "id")).alias("leader"))
-    pair = lambda a, b: (F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-    stars = members.join(leaders, "band").filter("id <> leader").select(*pair("id", "leader")).distinct()
-    links = settle(confirm(stars, heads, docs, id_col, text_col), "stars")
+    reach = settle(members.groupBy("id").agg(F.sum("n").alias("reach")), "reach")
+    heads = settle(heads.join(reach.select("id"), "id", "left_semi"), "heads")
+    # The same plan at every size: text meets the crowded ids by a shuffle.
+    sets = settle(set_documents(docs.join(reach.select("id").hint("merge"), "id", "left_semi"), "id", "text"), "sets")
+
+    leaders = members.join(reach, "id").groupBy("band").agg(F.max_by("id", F.struct("reach", "id")).alias("leader"))
+    stars = members.join(leaders, "band").filter("id <> leader").select(*_pair("id", "leader")).distinct()
+    links = settle(confirm(screen(stars, heads), sets), "links")
     component = connected(links)
-    # What is left inside buckets: pairs of members of different components, none of them the leader.
-    inside = members.join(component, "id", "left").select("band", "id", F.coalesce("component", "id").alias("c"))
-    mixed = inside.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("band")
-    inside = settle(inside.join(mixed, "band").join(leaders, "band").filter("id <> leader").select("band", "id", "c"), "inside")
-    kinds = inside.select("band", "c").distinct()
-    across = kinds.toDF("band", "c").join(kinds.toDF("band", "d"), "band").filter("c < d")
-    rest = across.join(inside.toDF("band", "u", "c"), ["band", "c"]).join(inside.toDF("band", "v", "d"), ["band", "d"]).select(*pair("u", "v")).distinct()
-    more = settle(confirm(rest, heads, docs, id_col, text_col), "across")
-    component = connected(links.union(more))
+
+    inside = settle(_open(members, component), "open")
+    drawn = inside.filter("c = main").groupBy("band").agg(F.min_by("id", F.xxhash64("id", "band")).alias("leader"))
+    again = inside.filter("c <> main").join(drawn, "band").select(*_pair("id", "leader"), F.col("id").alias("of")).distinct()
+    best = F.row_number().over(Window.partitionBy("of").orderBy("apart", "u", "v"))
+    again = screen(again, heads.select("id", "n_shingles", "sketch")).join(again, ["u", "v"]).withColumn("place", best).filter("place <= 3").select("u", "v").distinct()
+    links = settle(links.union(confirm(again, sets)), "links")
+    component = connected(links)
+
+    inside = settle(_open(members, component), "open")
+    rest = settle(screen_blocks(inside, heads), "rest")
+    for last in (False, True):
+        cross = rest.join(component.toDF("u", "cu"), "u", "left").join(component.toDF("v", "cv"), "v", "left").withColumns({"cu": F.coalesce("cu", "u"), "cv": F.coalesce("cv", "v")}).filter("cu <> cv")
+        if not last:
+            cross = cross.groupBy(F.least("cu", "cv"), F.greatest("cu", "cv")).agg(F.min_by(F.struct("u", "v"), F.struct("apart", "u", "v")).alias("p")).select("p.u", "p.v")
+        links = settle(links.union(confirm(cross.select("u", "v"), sets)), "links")
+        component = connected(links)
+
     whole = classed.join(component.withColumnRenamed("id", "class"), "class", "left").groupBy("id").agg(F.min(F.coalesce("component", "class")).alias("component"))
     out = sketched.select("id", "n_shingles").join(whole, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
