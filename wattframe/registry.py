@@ -24,7 +24,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 #: Modules that register queries on import.
-MODULES = ["scalars", "joins", "windows", "aggregates"]
+MODULES = ["scalars", "joins", "windows", "aggregates", "domain"]
 
 
 def _load() -> None:
@@ -43,4 +43,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The consumption-weighted monthly price with its coverage."""
+    _load()
+    return QUERIES["dom_19_weighted_price"](spark, sf_dir)
