@@ -56,13 +56,13 @@ def staged_load(raw: DataFrame) -> DataFrame:
     return R.latest_wins(kept, ["area", "utc"], [F.desc("loaded"), F.desc("load")])
 
 
-@query(f"""with t as (select l_returnflag as market, l_shipdate + l_linenumber * interval 1 hour as local, round((l_extendedprice / l_quantity)::decimal(28,9), 2) as price, l_orderkey as loaded, l_linenumber as n from lineitem)
-select market, strftime(timezone('UTC', timezone('{Z}', local)), '%Y-%m-%d %H') as utc, price::double as price from t qualify row_number() over (partition by market, timezone('{Z}', local) order by loaded desc, n desc) = 1""")
+@query(f"""with t as (select l_returnflag as market, l_shipdate + l_linenumber * interval 1 hour as local, l_extendedprice::decimal(18,2) as price, l_orderkey as loaded, l_linenumber as n from lineitem)
+select market, strftime(timezone('UTC', timezone('{Z}', local)), '%Y-%m-%d %H') as utc, price::double as price from t qualify row_number() over (partition by market, timezone('{Z}', local) order by loaded desc, n desc, price desc) = 1""")
 def dom_02_staged_hourly_price(spark, sf):
     li = table(spark, sf, "lineitem")
     part = lambda f: F.date_format("l_shipdate", f)
-    t = li.select(F.col("l_returnflag").alias("market"), C.wall_clock(part("yyyy"), part("M"), part("d"), F.col("l_linenumber").cast("string")).alias("local"), F.round((F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(28,9)"), 2).cast("decimal(38,9)").alias("price"), F.col("l_orderkey").alias("loaded"), F.col("l_linenumber").alias("n"))
-    out = R.latest_wins(t.withColumn("utc", C.to_utc("local")), ["market", "utc"], [F.desc("loaded"), F.desc("n")])
+    t = li.select(F.col("l_returnflag").alias("market"), C.wall_clock(part("yyyy"), part("M"), part("d"), F.col("l_linenumber").cast("string")).alias("local"), F.col("l_extendedprice").cast("decimal(18,2)").cast("decimal(38,9)").alias("price"), F.col("l_orderkey").alias("loaded"), F.col("l_linenumber").alias("n"))
+    out = R.latest_wins(t.withColumn("utc", C.to_utc("local")), ["market", "utc"], [F.desc("loaded"), F.desc("n"), F.desc("price")])
     return out.select("market", F.date_format("utc", "yyyy-MM-dd HH").alias("utc"), F.col("price").cast("double").alias("price"))
 
 

@@ -11,8 +11,6 @@ from wattframe.plans.bindings import hourly, monthly, series, with_
 from wattframe.registry import query
 from wattframe.session import table
 
-BY_MARKET = Window.partitionBy("market").orderBy("month")
-
 
 @query("select o_custkey, o_orderkey, o_totalprice from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_totalprice desc, o_orderkey) = 1")
 def win_01_latest_wins(spark, sf):
@@ -53,7 +51,7 @@ def win_06_gap_check(spark, sf):
 
 @query(with_("monthly") + "select market, month, round((100 * (value / lag(value, 12) over (partition by market order by month) - 1))::decimal(28,9), 4)::double as change from monthly")
 def win_07_year_on_year(spark, sf):
-    return monthly(spark, sf).select("market", "month", C.stable_round(100 * (F.col("value") / F.lag("value", 12).over(BY_MARKET) - 1), 4).alias("change"))
+    return monthly(spark, sf).select("market", "month", C.stable_round(100 * (F.col("value") / F.lag("value", 12).over(Window.partitionBy("market").orderBy("month")) - 1), 4).alias("change"))
 
 
 @query(with_("hourly") + """, g as (select m.market, g.hour, h.load from (select distinct market from hourly) m cross join (select unnest(generate_series(min(hour), max(hour), interval 1 hour)) as hour from hourly) g left join hourly h on h.market = m.market and h.hour = g.hour),

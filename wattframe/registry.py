@@ -24,7 +24,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 #: Modules that register queries on import.
-MODULES = ["scalars", "joins", "windows", "aggregates", "domain"]
+MODULES = ["scalars", "joins", "windows", "aggregates", "domain", "forecast"]
 
 
 def _load() -> None:
