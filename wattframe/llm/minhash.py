@@ -153,6 +153,14 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) after more links: only components that a link joins are labelled anew."""
+    known = component.union(links.select(F.col("u"), F.col("u")).union(links.select(F.col("v"), F.col("v"))).distinct().join(component, F.col("u") == F.col("id"), "left_anti"))
+    cross = links.join(known.toDF("u", "cu"), "u").join(known.toDF("v", "cv"), "v").filter("cu <> cv").select(*_pair("cu", "cv")).distinct()
+    anew = connected(cross).toDF("component", "label")
+    return settle(known.join(anew, "component", "left").select("id", F.coalesce("label", "component").alias("component")), "component")
+
+
 def screen(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """The pairs (u, v) that sizes and odd sketches let through, with the bits by which these differ."""
     side = heads.select("id", "n_shingles", "sketch")
@@ -244,8 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = inside.filter("c <> main").join(drawn, "band").select(*_pair("id", "leader"), F.col("id").alias("of")).distinct()
     best = F.row_number().over(Window.partitionBy("of").orderBy("apart", "u", "v"))
     again = screen(again, heads.select("id", "n_shingles", "sketch")).join(again, ["u", "v"]).withColumn("place", best).filter("place <= 3").select("u", "v").distinct()
-    links = settle(links.union(confirm(again, sets)), "links")
-    component = connected(links)
+    component = merged(component, settle(confirm(again, sets), "links"))
 
     inside = settle(_open(members, component), "open")
     rest = settle(screen_blocks(inside, heads), "rest")
@@ -253,8 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         cross = rest.join(component.toDF("u", "cu"), "u", "left").join(component.toDF("v", "cv"), "v", "left").withColumns({"cu": F.coalesce("cu", "u"), "cv": F.coalesce("cv", "v")}).filter("cu <> cv")
         if not last:
             cross = cross.groupBy(F.least("cu", "cv"), F.greatest("cu", "cv")).agg(F.min_by(F.struct("u", "v"), F.struct("apart", "u", "v")).alias("p")).select("p.u", "p.v")
-        links = settle(links.union(confirm(cross.select("u", "v"), sets)), "links")
-        component = connected(links)
+        component = merged(component, settle(confirm(cross.select("u", "v"), sets), "links"))
 
     whole = classed.join(component.withColumnRenamed("id", "class"), "class", "left").groupBy("id").agg(F.min(F.coalesce("component", "class")).alias("component"))
     out = sketched.select("id", "n_shingles").join(whole, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
