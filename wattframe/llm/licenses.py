@@ -8,8 +8,9 @@ it, and t is at least a quarter of the width (whole widths for the smallest clas
 under 1e-3 at the worst and under 1e-6 for whole copies of half a width. Candidates are confirmed exactly: the share of the template's
 shingles in the window is 0.75 or more.
 
-A filter that can't drop a match comes first: of each template's words a few are chosen such that under 0.75 of its
-shingles are without any; a text without all of these words contains no template.
+Filters that can't drop a match come first: of each template's words a few are chosen such that under 0.75 of its
+shingles are without any. A text without any of these words contains no template, and neither does a window, so only
+windows around these words are hashed.
 
 Everything is Spark SQL functions. Templates are broadcast: their number is fixed by the table, and checked. Only matches
 are shuffled (ids, no texts) and their rows are as many as matches. Words: lower-cased runs of a-z and 0-9; any other
@@ -86,8 +87,16 @@ def _minimums(shingles: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(SEEDS)), lambda seed: F.struct(seed.alias("seed"), F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, seed))).alias("low")))
 
 
-def _window(width: int) -> Callable[[Column], Column]:
-    return lambda start: F.struct(F.lit(width).alias("width"), start.alias("start"))
+def _around(width: int) -> Callable[[Column], Column]:
+    """The windows (width, start) of a class that hold a shingle with the word at a place."""
+    step = max(1, width // 2)
+
+    def windows(place: Column) -> Column:
+        first = F.greatest(F.lit(0), F.ceil((place - SHINGLE + 1 - width) / step).cast("int"))
+        final = F.floor(F.least(place - 1, F.col("last") - 1) / step).cast("int")
+        return F.transform(F.sequence(first, F.greatest(first, final)), lambda k: F.struct(F.lit(width).alias("width"), (k * step + 1).alias("start")))
+
+    return windows
 
 
 def template_table(spark, templates: list[tuple[str, str]]) -> DataFrame:
@@ -107,15 +116,18 @@ def find_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     templates = TEMPLATES if templates is None else templates
     known = template_table(docs.sparkSession, templates)
     widths = [r.width for r in known.select("width").distinct().orderBy("width").collect()]
+    markers = marker_words(templates)
     marked = F.lit(False)
-    for w in marker_words(templates):
+    for w in markers:
         marked = marked | F.contains(F.col("lowered"), F.lit(w))
     rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(text_col, F.lit(""))).alias("lowered")).filter(marked)
-    rows = rows.select("id", _shingles(_words(F.col("lowered"))).alias("all"))
+    rows = rows.select("id", _words(F.col("lowered")).alias("words"))
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.isin(markers), i + 1)), lambda i: i.isNotNull())
     bands = F.broadcast(known.select("license", F.col("shingles").alias("wanted"), "width", F.explode("minimums").alias("m")).select("license", "wanted", "width", "m.seed", "m.low"))
-    last = F.greatest(F.size("all"), F.lit(1))
-    starts = F.flatten(F.array(*[F.transform(F.sequence(F.lit(1), last, F.lit(max(1, w // 2))), _window(w)) for w in widths]))
-    windows = rows.select("id", "all", F.explode(starts).alias("w")).select("id", "w.width", "w.start", F.slice("all", F.col("w.start"), F.col("w.width")).alias("window"))
+    last = F.greatest(F.size("words") - SHINGLE + 1, F.lit(1))
+    rows = rows.select("id", "words", places.alias("places"), last.alias("last"))
+    starts = F.array_distinct(F.flatten(F.array(*[F.flatten(F.transform("places", _around(w))) for w in widths])))
+    windows = rows.select("id", "words", F.explode(starts).alias("w")).select("id", "w.width", "w.start", _shingles(F.slice("words", F.col("w.start"), F.col("w.width") + SHINGLE - 1)).alias("window"))
     asked = windows.select("*", F.explode(_minimums(F.col("window"))).alias("m")).select("id", "width", "start", "window", "m.seed", "m.low")
     hits = asked.join(bands, ["width", "seed", "low"])
     share = F.size(F.array_intersect("wanted", "window")) / F.size("wanted")
