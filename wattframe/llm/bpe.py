@@ -24,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from wattframe.llm.common import map_batches
+
 #: Most pre-tokens that a task's memo holds; at the bound it starts anew.
 MEMO = 400_000
 #: Most adjacent ranks that are scanned one merge at a time; longer pre-tokens merge a whole rank in each scan.
@@ -191,4 +193,4 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_ids else "")
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return map_batches(docs.select(id_col, text_col), run, schema)

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.llm.common import map_batches
+
 #: Fixed control strings: this template's and those of common chat templates.
 CONTROL = ["<s>", "</s>", "[ROLE]", "[/ROLE]", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|"]
 PARTS = "array<struct<type:string,text:string,ref:string,tokens:int>>"
@@ -131,4 +133,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([c], kind if n == 0 else None) for n, c in enumerate((key, *now.row()))], names=names)
 
     ordered = formatted.select("conv_id", "turn", "role", "segment", "loss_start", "loss_end").repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "segment")
-    return ordered.select("conv_id", "segment", "loss_start", "loss_end").mapInArrow(run, schema)
+    return map_batches(ordered.select("conv_id", "segment", "loss_start", "loss_end"), run, schema)

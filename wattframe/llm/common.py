@@ -5,14 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step handles; bounds a worker's memory whatever the batch holds.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 #: A-Z to a-z over bytes; UTF-8 continuation bytes are untouched.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -46,6 +46,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch between Spark and a Python worker: batches hold whole texts, so rows alone don't bound them.
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches bounded in bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser, in place on a fresh array."""
     h = h ^ (h >> np.uint64(30))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import LOWER, hash_words, text_steps, words_of
+from wattframe.llm.common import LOWER, hash_words, map_batches, text_steps, words_of
 
 WINDOW = 13
 #: Symbols of one index.
@@ -273,7 +273,7 @@ def _scan(docs: DataFrame, ids: list, texts: list, window: int, id_col: str, tex
         if shard.rows:
             yield result(shard)
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {SCHEMA}")
+    return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {SCHEMA}")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

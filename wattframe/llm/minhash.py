@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import LOWER, as_int64, hash_words, mix, settle, text_steps, words_of
+from wattframe.llm.common import LOWER, as_int64, hash_words, map_batches, mix, settle, text_steps, words_of
 
 SHINGLE = 5
 ROWS, BANDS = 6, 70
@@ -119,7 +119,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 ids = batch.column(0).slice(first, len(sizes))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), _lists(digest, has), _lists(bands, has), _lists(odd, has)], names=["id", "n_shingles", "digest", "bands", "sketch"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, n_shingles long, digest array<long>, bands array<long>, sketch array<long>")
+    return map_batches(docs.select(id_col, text_col), run, f"id {docs.schema[id_col].dataType.simpleString()}, n_shingles long, digest array<long>, bands array<long>, sketch array<long>")
 
 
 def set_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -132,7 +132,7 @@ def set_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 values = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(as_int64(sets)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sizes)), values], names=["id", "shingles"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, shingles array<long>")
+    return map_batches(docs.select(id_col, text_col), run, f"id {docs.schema[id_col].dataType.simpleString()}, shingles array<long>")
 
 
 def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from wattframe.llm.common import LOWER, hash_words, text_steps, words_of
+from wattframe.llm.common import LOWER, hash_words, map_batches, text_steps, words_of
 
 #: Most labelled rows in training.
 TRAIN_ROWS = 20_000
@@ -194,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 x = statistics(data, offsets)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(x)), pa.array(list(x))], names=["label", "x"])
 
-    rows = texts.mapInArrow(run, "label int, x array<double>").toArrow()
+    rows = map_batches(texts, run, "label int, x array<double>").toArrow()
     x = np.array(rows.column("x").to_pylist()).reshape(-1, len(FEATURES))
     y = rows.column("label").to_numpy().astype(float)
     order = np.lexsort(np.c_[x, y].T)  # the same model whatever order the rows came in
@@ -212,7 +212,7 @@ def score_documents(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_
             parts = [model.value.score(statistics(data, offsets)) for _, data, offsets in text_steps(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(name, DoubleType()))
+    return map_batches(docs, run, StructType([*docs.schema.fields]).add(name, DoubleType()))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -26,6 +26,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.llm.common import map_batches
+
 LEAF = 64
 #: Characters before an edit that the pattern's decisions may rest on.
 CONTEXT = 2
@@ -148,7 +150,7 @@ def count_edited(docs: DataFrame, ranks_path: str, edits: Column, id_col: str =
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"), edits.cast(EDITS).alias("edits"))
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, n_tokens_after long, n_pieces long, n_recut long")
+    return map_batches(rows, run, f"`{id_col}` {kind}, n_tokens long, n_tokens_after long, n_pieces long, n_recut long")
 
 
 def usual_edits(text: Column) -> Column:
