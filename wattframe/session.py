@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -28,3 +32,9 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
 
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "wattframe-scratch")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
