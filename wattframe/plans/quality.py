@@ -145,7 +145,7 @@ def dq_12_station_completeness(spark, sf, least: float = 0.095):
     return c.withColumn("s", F.col("hours") / 720.0).filter(F.col("s") < least).select("station", r3("s", 6).alias("share"))
 
 
-@query(with_("hourly") + f", {CONSUMPTION_SQL} select count(distinct profile)::bigint as levels, min(profile) as low, count_if(not is_open and profile <> 0.4)::bigint as wrong_closed from consumption")
+@query(with_("hourly") + f", {CONSUMPTION_SQL} select count(distinct profile)::bigint as levels, min(profile) as low, coalesce(count_if(not is_open and profile <> 0.4), 0)::bigint as wrong_closed from consumption")
 def dq_13_profile_invariants(spark, sf):
     return consumption(spark, sf).agg(F.count_distinct("profile").alias("levels"), F.min("profile").alias("low"), F.count_if(~F.col("is_open") & (F.col("profile") != 0.4)).alias("wrong_closed"))
 
