@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from wattframe.functions.columns import month_index
 
-#: A side of a join is broadcast by hand only up to so many rows, counted first.
-SMALL_ROWS = 50_000
-
 
 def latest_wins(df: DataFrame, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:
     """One row per key: the first in the given order, which should be total. Plans a partial limit before the shuffle."""
