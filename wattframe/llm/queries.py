@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.llm import ann, bpe, chat, decontaminate, html_extract, licenses, minhash, quality, secrets, token_counts
+from wattframe.llm import ann, bpe, chat, decontaminate, html_extract, licenses, minhash, oracle, quality, secrets, token_counts
 from wattframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files; a parameter of whoever runs the queries elsewhere.
@@ -39,7 +39,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.digests(decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return decontaminate.digests(decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))).drop("spans")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +63,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
