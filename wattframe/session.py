@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +31,19 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, unless the environment already names its folder to them."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    context = spark.sparkContext
+    if root in map(os.path.abspath, os.environ.get("PYTHONPATH", "").split(os.pathsep)) or getattr(context, "_wattframe_shipped", False):
+        return
+    folder = os.path.realpath(tempfile.mkdtemp())
+    context.addPyFile(shutil.make_archive(f"{folder}/wattframe", "zip", root, "wattframe"))
+    context._wattframe_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
