@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattframe.session import ship
+
 TREES, BITS = 64, 32
 SHARD_ROWS, QUERY_ROWS = 4096, 4096
 SHARE, LEAST = 0.42, 1024
@@ -109,6 +111,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), id_col, score: the k largest inner products found for each row where is_query holds."""
+    ship(vectors.sparkSession)
     rows = vectors.filter(F.col(id_col).isNotNull()).withColumn("__query", is_query).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), "__query").filter(_valid(F.col("vector"))).dropDuplicates(["id", "vector"])
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     seen = rows.agg(F.count("*").alias("rows"), F.count_if("__query").alias("queries"), F.max(norm).alias("most")).first()

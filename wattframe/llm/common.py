@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from wattframe.session import ship
+
 #: Bytes of text that one vectorised step handles; bounds a worker's memory whatever the batch holds.
 STEP_BYTES = 1 << 20
 
@@ -24,6 +26,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -52,6 +55,7 @@ BATCH_BYTES = 4 << 20
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow with batches bounded in bytes."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
