@@ -42,8 +42,9 @@ def read_delimited(spark: SparkSession, path: str, headers: Sequence[str], sep:
     changed layout and ragged rows fail the job without a pass of their own.
     """
     schema = ", ".join(f"`{h}` string" for h in headers)
-    read = spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False).option("encoding", encoding).option("mode", "FAILFAST").option("emptyValue", "").option("nullValue", "\0")
-    return read.csv(path).toDF(*header_names(headers)).withColumn("source_file", F.input_file_name())
+    read = spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False).option("encoding", encoding).option("mode", "FAILFAST")
+    # A text file has no nulls: a field without characters is an empty text.
+    return read.csv(path).toDF(*header_names(headers)).na.fill("").withColumn("source_file", F.input_file_name())
 
 
 def empty_counts(df: DataFrame) -> DataFrame:
