@@ -231,8 +231,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = settle(sketch_documents(docs, "id", "text"), "sketches")
     some = sketched.filter("n_shingles > 0 and id is not null")
-    classes = some.groupBy("digest").agg(F.min("id").alias("class"))
-    classed = settle(some.select("id", "digest").join(classes, "digest").select("id", "class"), "classes")
+    # Settled, so that the join's sides are plain shuffles and a digest that many documents share can be split.
+    classes = settle(some.groupBy("digest").agg(F.min("id").alias("class"), F.count("*").alias("n")).filter("n > 1").drop("n"), "shared")
+    classed = settle(some.select("id", "digest").join(classes, "digest", "left").select("id", F.coalesce("class", "id").alias("class")), "classes")
     heads = some.join(classed.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "digest"])
     buckets = heads.select("id", F.explode("bands").alias("band"))
     crowded = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
