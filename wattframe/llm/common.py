@@ -46,7 +46,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a settled table once everything made from it is settled too."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.settled_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Bytes of one Arrow batch between Spark and a Python worker: batches hold whole texts, so rows alone don't bound them.

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import LOWER, as_int64, hash_words, map_batches, mix, settle, text_steps, words_of
+from wattframe.llm.common import LOWER, as_int64, discard, hash_words, map_batches, mix, settle, text_steps, words_of
 
 SHINGLE = 5
 ROWS, BANDS = 6, 70
@@ -147,9 +147,11 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         step = labels.join(near, labels.id == near.u).select("id", "c", F.least("c", "m").alias("n"))
         jump = labels.select(F.col("id").alias("n"), F.col("c").alias("r"))
         nxt = settle(step.join(jump, "n", "left").select("id", F.coalesce("r", "n").alias("c"), (F.coalesce("r", "n") != F.col("c")).alias("moved")), "labels")
-        labels = nxt.select("id", "c")
+        discard(labels)
+        labels = nxt
         if nxt.filter("moved").isEmpty():
-            return labels.withColumnRenamed("c", "component")
+            discard(both)
+            return labels.select("id", F.col("c").alias("component"))
     raise RuntimeError("components did not settle")
 
 

@@ -25,7 +25,7 @@ from wattframe.llm.common import LOWER, hash_words, map_batches, text_steps, wor
 
 #: Most labelled rows in training.
 TRAIN_ROWS = 20_000
-ROUNDS, DEPTH, BINS, RATE, LEAST, RIDGE = 120, 4, 64, 0.12, 20.0, 1.0
+ROUNDS, DEPTH, BINS, RATE, LEAST, RIDGE = 120, 4, 64, 0.12, 10, 1.0
 THRESHOLD = 0.3
 
 _SPACES = [9, 10, 11, 12, 13, 32]
