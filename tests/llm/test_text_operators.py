@@ -148,6 +148,34 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_repeats_over_the_shards_of_a_host(spark, monkeypatch):
+    passage = [[f"b{j}_{k}" for k in range(html_extract.REPEAT + 4 * j)] for j in range(4)]
+    words = {i: [f"u{i}_{k}" for k in range(30)] for i in range(60)}
+    for i, j in [(3, 0), (41, 0), (7, 1), (22, 1), (58, 1), (9, 2), (50, 2), (11, 3)]:  # the last one stands on one page only
+        words[i][10:10] = passage[j]
+    words[60] = words[11]  # a copy is no evidence
+    words[61] = passage[0][:-1]  # shorter than a repeat
+    marked = "<article>own</article><nav>" + " ".join(passage[2]) + "</nav>"
+    rows = [(i, "http://a.com/x", "<p>" + " ".join(w) + "</p>") for i, w in words.items()] + [(70, "http://a.com/y", marked), (71, "http://b.com/", "<p>" + " ".join(passage[3]))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    n, where = html_extract.REPEAT, {}
+    for i, w in words.items():
+        for k in range(len(w) - n + 1):
+            where.setdefault(tuple(w[k : k + n]), set()).add(tuple(w))
+    want = {}
+    for i, w in words.items():
+        gone = {x for k in range(len(w) - n + 1) if len(where[tuple(w[k : k + n])]) > 1 for x in range(k, k + n)}
+        want[i] = " ".join(x for k, x in enumerate(w) if k not in gone)
+    want |= {70: "own", 71: " ".join(passage[3])}
+    assert "b0_0" not in want[3] and "b1_0" not in want[58] and "b3_0" in want[11] and "b3_0" in want[60]
+    for chars in (300, 1500, 10**9):
+        monkeypatch.setattr(html_extract, "SHARD_CHARS", chars)
+        assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
+    monkeypatch.setattr(html_extract, "SHARD_CHARS", 300)
+    monkeypatch.setattr(html_extract, "MOST_LARGE_HOSTS", 0)
+    assert {r.page_id: r.text for r in html_extract.extract(df).collect()} == want
+
+
 def test_repeats_by_brute_force():
     rng = np.random.default_rng(2)
     tokens, page = rng.integers(0, 3, 600).astype(np.uint64), np.repeat(np.arange(6), 100)

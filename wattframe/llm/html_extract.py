@@ -10,6 +10,11 @@ stay. An article that the markup names is main text however often its passages r
 such a page open blocks are not main text. Chrome blocks always go, but they stand in the stream, so that a menu
 without markup on one page is recognised by its marked twin on another. Pages with the same stream count as one page.
 
+Repeats count over the whole host, whatever its shards. Where a host has several shards and a page that can lose text
+(one without article or main that has open blocks), each shard's distinct substrings of REPEAT tokens are hashed, with
+the least and largest stream that holds each. An aggregate with partial sums finds the hashes of two streams or more,
+and these go back to the shards whose own such pages hold them.
+
 Null html gives an empty text, a null or malformed url belongs to the host "". Very long pages are a shard of their own
 and are never cut. Every row gives one row; repeated rows and ids give a row each. Extra columns are not read.
 """
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import hash_words, map_batches, mix, settle, text_steps, words_of
+from wattframe.llm.common import as_int64, hash_words, map_batches, mix, powers, settle, text_steps, words_of
 
 #: Tokens of the shortest repeat that counts; a power of two for the doubling.
 REPEAT = 16
@@ -37,6 +42,8 @@ MOST_LARGE_HOSTS = 500_000
 
 MAIN, CHROME, OPEN = "m", "c", "o"
 
+_PLACE = np.random.default_rng(16).integers(0, 2**63, REPEAT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 #: Fixed names of the HTML standard and usual class names.
 SILENT = {"script", "style", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "select", "textarea", "title"}
 CHROME_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button"}
@@ -150,8 +157,41 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(counts)
 
 
-def extract_shard(pages: list[list[tuple[str, str]]]) -> list[str]:
-    """Texts of the pages of one host shard."""
+def is_loose(blocks: list[tuple[str, str]]) -> bool:
+    """Whether repeats can take text from a page: it has open blocks and no named main text."""
+    zones = {zone for zone, _ in blocks}
+    return OPEN in zones and MAIN not in zones
+
+
+def _windows(hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First tokens and hashes of all substrings of REPEAT tokens inside pages of `many` tokens."""
+    page = np.repeat(np.arange(len(many)), many)
+    at = np.flatnonzero(page[REPEAT - 1 :] == page[: len(page) - REPEAT + 1]) if len(page) >= REPEAT else np.zeros(0, np.int64)
+    out = np.zeros(len(at), dtype=np.uint64)
+    for k in range(REPEAT):
+        out += hashes[at + k] * _PLACE[k]
+    return at, mix(out)
+
+
+def substrings(pages: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of the pages' substrings, sorted, with the least and the largest stream that holds each."""
+    hashes, counts = _tokens([text for page in pages for _, text in page])
+    total = np.r_[0, np.cumsum(counts)]
+    many = np.diff(total[np.r_[0, np.cumsum([len(p) for p in pages])].astype(np.int64)])
+    at, found = _windows(hashes, many)
+    begin = np.cumsum(many) - many
+    codes = mix(hashes) * powers(int(many.max(initial=0)) + 1)[np.arange(len(hashes)) - np.repeat(begin, many)]
+    stream = np.zeros(len(many), dtype=np.uint64)
+    stream[many > 0] = mix(np.add.reduceat(codes, begin[many > 0]) + many[many > 0].astype(np.uint64)) if len(codes) else 0
+    stream = as_int64(stream)[np.repeat(np.arange(len(many)), many)[at]]
+    order = np.lexsort((stream, found))
+    found, stream = found[order], stream[order]
+    new = np.flatnonzero(np.r_[True, found[1:] != found[:-1]]) if len(found) else np.zeros(0, np.int64)
+    return found[new], stream[new], stream[np.r_[new[1:], len(found)].astype(np.int64) - 1] if len(found) else stream
+
+
+def extract_shard(pages: list[list[tuple[str, str]]], repeats: np.ndarray | None = None) -> list[str]:
+    """Texts of the pages of one host shard; repeats: hashes of substrings that repeat in the host."""
     flat = [text for page in pages for _, text in page]
     hashes, counts = _tokens(flat)
     in_page = np.array([len(p) for p in pages], dtype=np.int64)
@@ -171,6 +211,13 @@ def extract_shard(pages: list[list[tuple[str, str]]]) -> list[str]:
         hit[use] = covered(mix(hashes[use]), page[use])
     for i in np.flatnonzero(skip):
         hit[page_at[i] : page_at[i + 1]] = hit[page_at[number[i]] : page_at[number[i] + 1]]
+    if repeats is not None and len(repeats):
+        at, found = _windows(hashes, np.diff(page_at))
+        at = at[np.isin(found, repeats)]
+        cover = np.zeros(len(hashes) + 1, dtype=np.int64)
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + REPEAT, -1)
+        hit |= np.cumsum(cover)[:-1] > 0
     out, block = [], 0
     for blocks in pages:
         marked = any(zone == MAIN for zone, _ in blocks)
@@ -193,26 +240,73 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """id_col, url_col, text, n_chars for each row of pages."""
     host = F.coalesce(F.regexp_extract(F.lower(url_col), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-    size = F.coalesce(F.length("html"), F.lit(0))
-    large = settle(rows.groupBy("host").agg(F.ceil(F.sum(size) / SHARD_CHARS).alias("shards")).filter("shards > 1"), "hosts")
-
+    rows = rows.withColumn("size", F.coalesce(F.length("html"), F.lit(0)).cast("long"))
     kind = pages.schema[id_col].dataType.simpleString()
 
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            loose = pa.array([is_loose(blocks_of(page.as_py())) for page in batch.column(2)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), loose], names=["host", "size", "loose"])
+
+    seen = map_batches(rows.select("host", "size", "html"), look, "host string, size long, loose boolean")
+    large = settle(seen.groupBy("host").agg(F.ceil(F.sum("size") / SHARD_CHARS).alias("shards"), F.max("loose").alias("loose")).filter("shards > 1"), "hosts")
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = [zlib.compress("\0".join(zone + text.replace("\0", "�") for zone, text in blocks_of(page.as_py())).encode("utf-8", "replace"), 1) for page in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(packed, pa.binary())], names=["id", "url", "host", "blocks"])
 
-    scanned = map_batches(rows, scan, f"id {kind}, url string, host string, blocks binary")
     # Joined by a shuffle, pages would already lie by host, a large one's in one task: then they are dealt out anew.
     few = large.count() <= MOST_LARGE_HOSTS
-    dealt = scanned.join(F.broadcast(large) if few else large, "host", "left").withColumn("shard", F.pmod(F.xxhash64("id", "blocks"), F.coalesce("shards", F.lit(1))))
-    dealt = dealt if few else dealt.repartition("host", "shard")
+    hosts = F.broadcast(large) if few else large
 
-    def shard(key: tuple, pages: pa.Table) -> pa.Table:
-        blocks = [[(b[0], b[1:]) for b in zlib.decompress(x).decode("utf-8").split("\0") if b] for x in pages["blocks"].to_pylist()]
-        texts = extract_shard(blocks)
+    def deal(rows: DataFrame) -> DataFrame:
+        scanned = map_batches(rows.select("id", "url", "html", "host"), scan, f"id {kind}, url string, host string, blocks binary")
+        dealt = scanned.join(hosts.select("host", "shards"), "host", "left").withColumn("shard", F.pmod(F.xxhash64("id", "blocks"), F.coalesce("shards", F.lit(1))))
+        return dealt.select("id", "url", "blocks", "host", "shard")
+
+    def unpack(packed: list[bytes]) -> list[list[tuple[str, str]]]:
+        return [[(b[0], b[1:]) for b in zlib.decompress(x).decode("utf-8").split("\0") if b] for x in packed]
+
+    def texts_of(pages: pa.Table, repeats: np.ndarray | None) -> pa.Table:
+        texts = extract_shard(unpack(pages["blocks"].to_pylist()), repeats)
         return pa.table({"id": pages["id"], "url": pages["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    out = dealt.select("id", "url", "blocks", "host", "shard").groupBy("host", "shard").applyInArrow(shard, f"id {kind}, url string, text string, n_chars long")
+    def shard(key: tuple, pages: pa.Table) -> pa.Table:
+        return texts_of(pages, None)
+
+    def shard_of_host(pages: pa.Table, repeats: pa.Table) -> pa.Table:
+        return texts_of(pages, repeats["hash"].to_numpy().view(np.uint64))
+
+    def evidence(loose_only: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                groups: dict[tuple, list[list[tuple[str, str]]]] = {}
+                for host, shard, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), unpack(batch.column(2).to_pylist()), strict=True):
+                    if not loose_only or is_loose(blocks):
+                        groups.setdefault((host, shard), []).append(blocks)
+                for (host, shard), held in groups.items():
+                    found, low, high = substrings(held)
+                    n = len(found)
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(host, pa.string()), n), pa.repeat(pa.scalar(shard, pa.int64()), n), pa.array(as_int64(found)), pa.array(low), pa.array(high)], names=["host", "shard", "hash", "low", "high"])
+
+        return run
+
+    def texts(dealt: DataFrame, repeats: DataFrame | None) -> DataFrame:
+        dealt = dealt if few else dealt.repartition("host", "shard")
+        schema = f"id {kind}, url string, text string, n_chars long"
+        if repeats is None:
+            return dealt.groupBy("host", "shard").applyInArrow(shard, schema)
+        return dealt.groupBy("host", "shard").cogroup(repeats.groupBy("host", "shard")).applyInArrow(shard_of_host, schema)
+
+    if large.filter("loose").isEmpty():
+        out = texts(deal(rows), None)
+    else:
+        spread = deal(rows.join(hosts.filter("loose"), "host", "left_semi")).select("host", "shard", "blocks")
+        schema = "host string, shard long, hash long, low long, high long"
+        both = map_batches(spread, evidence(False), schema).groupBy("host", "hash").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        repeating = settle(both.filter("low < high").select("host", "hash"), "repeating")
+        own = map_batches(spread, evidence(True), schema).select("host", "shard", "hash")
+        repeats = settle(own.join(repeating, ["host", "hash"], "left_semi").distinct(), "repeats")
+        out = texts(deal(rows), repeats)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
