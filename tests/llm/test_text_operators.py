@@ -331,6 +331,13 @@ def test_near_duplicates(spark, monkeypatch):
     assert minhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_a_long_chain_is_one_component(spark):
+    ids = [int(x) for x in np.random.default_rng(5).permutation(1000)]
+    links = spark.createDataFrame(list(itertools.pairwise(ids)) + [(5000, 4000), (4000, 5000)], "u long, v long")
+    got = {r.id: r.component for r in minhash.connected(links).collect()}
+    assert got == dict.fromkeys(ids, 0) | {4000: 4000, 5000: 4000}
+
+
 def test_scattered_groups_meet(spark):
     """Chains whose ends are far apart and many small groups: components are those of all pairs."""
     rng = np.random.default_rng(8)

@@ -135,24 +135,28 @@ def set_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return map_batches(docs.select(id_col, text_col), run, f"id {docs.schema[id_col].dataType.simpleString()}, shingles array<long>")
 
 
-def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, for ids with links (u, v).
 
-    Each round takes the smallest label around and then the label of that label, so distances halve.
+    Each round gives an id the smallest label around, hooks what the ids of a label met onto the label's own id as well,
+    and then takes the label of that label, so that whole regions join and rounds grow with the logarithm of a path's
+    length. Labels only fall and stay inside their component; when none moves, neighbours agree.
     """
     both = settle(links.select("u", "v").union(links.select(F.col("v"), F.col("u"))).distinct(), "links")
     labels = settle(both.groupBy(F.col("u").alias("id")).agg(F.least(F.col("id"), F.min("v")).alias("c")), "labels")
-    for _ in range(most_rounds):
+    while True:
         near = both.join(labels, both.v == labels.id).groupBy("u").agg(F.min("c").alias("m"))
-        step = labels.join(near, labels.id == near.u).select("id", "c", F.least("c", "m").alias("n"))
+        step = settle(labels.select("id", "c").join(near, F.col("id") == F.col("u")).select("id", "c", F.least("c", "m").alias("n")), "near")
+        hooks = step.groupBy("c").agg(F.min("n").alias("h")).filter("h < c").select(F.col("c").alias("own"), "h")
+        hooked = step.join(hooks, F.col("id") == F.col("own"), "left").select("id", "c", F.least("n", "h").alias("n"))
         jump = labels.select(F.col("id").alias("n"), F.col("c").alias("r"))
-        nxt = settle(step.join(jump, "n", "left").select("id", F.coalesce("r", "n").alias("c"), (F.coalesce("r", "n") != F.col("c")).alias("moved")), "labels")
+        nxt = settle(hooked.join(jump, "n", "left").select("id", F.least("r", "n").alias("c"), (F.least("r", "n") != F.col("c")).alias("moved")), "labels")
         discard(labels)
+        discard(step)
         labels = nxt
         if nxt.filter("moved").isEmpty():
             discard(both)
             return labels.select("id", F.col("c").alias("component"))
-    raise RuntimeError("components did not settle")
 
 
 def merged(component: DataFrame, links: DataFrame) -> DataFrame:
