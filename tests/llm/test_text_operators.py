@@ -49,6 +49,26 @@ def test_nearest_neighbours(spark):
     assert set(got.query_id) <= set(range(0, 3000, 20))
 
 
+@pytest.mark.parametrize("case", ["varied", "outlier"])
+def test_nearest_with_other_norms(spark, case):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4096, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if case == "varied":
+        x *= np.exp(rng.normal(size=(4096, 1)) * 0.3)
+    else:
+        x[1] *= 2
+    v = spark.createDataFrame([(i, y.tolist()) for i, y in enumerate(x)], "vec_id long, embedding array<double>")
+    found = 0
+    got = ann.nearest(v, F.col("vec_id") % 100 == 0, 20).toPandas()
+    for q in range(0, 4096, 100):
+        s = x @ x[q]
+        s[q] = -np.inf
+        found += len(set(got[got.query_id == q].vec_id) & set(np.argsort(-s)[:20]))
+    print("recall", case, found / (41 * 20))
+    assert found / (41 * 20) >= 0.9
+
+
 def test_nearest_ties_and_empty(spark):
     v = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(40)], "vec_id long, embedding array<float>")
     got = ann.nearest(v, F.col("vec_id") % 20 == 0, 5).orderBy("query_id", "rank").collect()

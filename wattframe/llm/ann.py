@@ -6,9 +6,10 @@ ascend together, one bit at a time, until the rows that share a prefix of that l
 are as many as the target. These candidates are scored exactly, in double precision, on the original vectors.
 
 Inner products become angles by one more coordinate, sqrt(largest norm^2 - norm^2), that queries have as zero; where
-all norms are equal it changes nothing.
+all norms are equal it changes nothing. Large, it would drown the others in the signs: so a shard holds one range of
+norms, of which the largest is at most NORM_STEP times the least, and takes the largest norm of its own.
 
-Spark deals rows out to shards of about SHARD_ROWS by a hash of id and vector, so that equal or close vectors, however
+Spark deals the rows of a range out to shards of about SHARD_ROWS by a hash of id and vector, so that equal or close vectors, however
 many, spread evenly. Queries go to every shard in blocks of QUERY_ROWS; a cogroup brings one block to one shard, both
 bounded. Each returns its best k, and a ranked window with partial limits merges them. A shard's target is the larger of
 LEAST candidates and SHARE of its rows. SHARE is high because vectors without structure need it: for random directions
@@ -22,6 +23,8 @@ are rows of their own, and a query with several keeps the best of all of them. W
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +35,7 @@ from wattframe.session import ship
 TREES, BITS = 64, 32
 SHARD_ROWS, QUERY_ROWS = 4096, 4096
 SHARE, LEAST = 0.42, 1024
+NORM_STEP = 1.05
 SEED = 17
 
 
@@ -114,13 +118,20 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     ship(vectors.sparkSession)
     rows = vectors.filter(F.col(id_col).isNotNull()).withColumn("__query", is_query).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), "__query").filter(_valid(F.col("vector"))).dropDuplicates(["id", "vector"])
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    seen = rows.agg(F.count("*").alias("rows"), F.count_if("__query").alias("queries"), F.max(norm).alias("most")).first()
-    shards, blocks, most = max(1, -(-seen.rows // SHARD_ROWS)), max(1, -(-seen.queries // QUERY_ROWS)), float(seen.most or 1.0)
+    # Norm 1 lies in the middle of a range; squares that under- or overflow go to the outermost ones.
+    step = F.round(F.log(F.least(F.greatest(norm, F.lit(1e-300)), F.lit(1e300))) / (2 * math.log(NORM_STEP))).cast("int")
+    rows = rows.withColumn("range", step)
+    seen = rows.groupBy("range").agg(F.count("*").alias("rows"), F.count_if("__query").alias("queries")).orderBy("range").collect()
+    blocks = max(1, -(-sum(r.queries for r in seen) // QUERY_ROWS))
+    many = [-(-r.rows // SHARD_ROWS) for r in seen]
+    shards = max(1, sum(many))
+    ranges = vectors.sparkSession.createDataFrame([(r.range, sum(many[:k]), many[k]) for k, r in enumerate(seen)], "range int, first int, many int")
     size = F.size("vector").alias("dimension")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = F.pmod(F.xxhash64("id", "vector"), F.lit(shards)).cast("int").alias("shard")
-    held = rows.select("id", "vector", size, dealt, every(blocks).alias("block"))
+    dealt = (F.col("first") + F.pmod(F.xxhash64("id", "vector"), F.col("many"))).cast("int").alias("shard")
+    held = rows.join(F.broadcast(ranges), "range").select("id", "vector", size, dealt, every(blocks).alias("block"))
     asked = rows.filter("__query").select("id", "vector", size, F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), every(shards).alias("shard"))
+    asked = asked.select(*[F.col(c).alias(c) for c in asked.columns])
     empty = pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -128,7 +139,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             return empty
         x, q = _matrix(left["vector"]), _matrix(right["vector"])
         ids, asking = left["id"].to_numpy(), right["id"].to_numpy()
-        gap = np.sqrt(np.maximum(most - (x * x).sum(axis=1), 0))
+        squares = (x * x).sum(axis=1)
+        most = squares.max()
+        gap = np.sqrt(np.maximum(most - squares, 0))
         if (gap > 1e-3 * np.sqrt(most)).any():
             wide, query = np.c_[x, gap], np.c_[q, np.zeros(len(q))]
         else:
