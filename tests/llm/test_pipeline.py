@@ -45,5 +45,5 @@ def test_stages(spark, corpus):
 def test_run_equals_its_stages(spark, corpus):
     path, _, _ = corpus
     out = corpus_pipeline.run(spark, path)
-    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert out.filter(F.col("doc_id") == 5).count() == 1

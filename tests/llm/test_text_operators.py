@@ -263,37 +263,65 @@ def contamination(text, items, window=13):
 def test_contamination(spark, monkeypatch):
     item = prose(30, 7, 20)
     items = [(10, item), (9, "short Phrase é1"), (8, None), (7, "..."), (10, item), (None, "lost item words"), (6, prose(14, 8, 5)), (5, item[:60])]
-    rows = [(1, None), (2, ""), (3, f"{prose(200, 9)} {item} {prose(50, 10)}"), (4, "a SHORT, phrase\né1! short phrase"), (5, prose(3000, 11, 5)), (6, item), (6, item), (7, item.replace(" ", " , ")), (8, prose(40, 12)), (9, " ".join(["w1"] * 500))]
+    rows = [(1, None), (2, ""), (3, f"{prose(200, 9)} {item} {prose(50, 10)}"), (4, "a SHORT, phrase\né1! short phrase"), (5, prose(3000, 11, 5)), (6, item), (6, item), (7, item.replace(" ", " , ")), (8, prose(40, 12)), (9, " ".join(["w1"] * 500)), (1, item), (3, "other text of a repeated id"), (None, item), (None, None), (None, prose(14, 8, 5))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("words", F.lit(1))
-    want = {(i, t): contamination(t, [x for x in items if x[0] is not None]) for i, t in rows}
-
-    def check():
-        found = decontaminate.find_contamination(docs(spark, rows), bench).collect()
-        by = {r.doc_id: r for r in found}
-        for (i, t), (n_words, n_hit, named) in want.items():
-            assert (by[i].n_words, by[i].n_hit, by[i].items) == (n_words, n_hit, named), i
-            inside = [WORD.findall((t or "")[s.start : s.end].translate(LOW)) for s in by[i].spans]
-            assert sum(map(len, inside)) == n_hit
-        return found
-
-    assert len(check()) == len(rows)
-    digest = {r.doc_id: r for r in decontaminate.digests(decontaminate.find_contamination(docs(spark, rows), bench)).collect()}
-    assert digest[3].contaminated and digest[6].contaminated and not digest[8].contaminated and not digest[1].contaminated
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 100)  # several benchmark blocks
+
+    def check(window=13):
+        found = decontaminate.find_contamination(docs(spark, rows), bench, window).collect()
+        want = [contamination(t, [x for x in items if x[0] is not None], window) for _, t in rows]
+        assert len(found) == len(rows)
+        assert sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in found) == sorted((str(i), *w) for (i, _), w in zip(rows, want, strict=True))
+        for r in found:
+            texts = [t or "" for i, t in rows if i == r.doc_id]
+            assert any(sum(len(WORD.findall(t[s.start : s.end].translate(LOW))) for s in r.spans) == r.n_hit for t in texts)
+
+    check()
+    check(3)
+    digest = decontaminate.digests(decontaminate.find_contamination(docs(spark, rows), bench)).collect()
+    assert all(r.contaminated == (r.n_hit > 0 and 20 * r.n_hit >= r.n_words) for r in digest)
+    assert {r.doc_id for r in digest if r.contaminated} >= {None, 1, 3, 6} and {r.doc_id for r in digest if not r.contaminated} >= {None, 1, 3, 8}
+    for chars in (300, 100, 20):  # several benchmark blocks
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", chars)
+        check()
+    monkeypatch.setattr(decontaminate, "SHARD", 50)
     check()
     assert all(r.n_hit == 0 for r in decontaminate.find_contamination(docs(spark, rows), bench.limit(0)).collect())
     assert decontaminate.find_contamination(docs(spark, rows).limit(0), bench).count() == 0
 
 
+def test_a_block_of_phrases_by_brute_force():
+    rng = np.random.default_rng(14)
+    texts = [" ".join(f"v{k}" for k in rng.integers(0, 3, n)) for n in (0, 1, 2, 3, 12, 13, 14, 40, 40)] + ["v0", None]
+    p = decontaminate.Phrases(list(range(len(texts))), texts, 4)
+    got = {}
+    for k in range(len(p.sizes)):
+        got.setdefault(tuple(p.text[p.starts[k] : p.starts[k] + p.sizes[k]]), set()).update(p.owners[p.owner_at[k] : p.owner_at[k + 1]])
+    assert len(got) == len(p.sizes)
+    number = {f"v{k}": int(np.searchsorted(p.vocabulary, h)) + 2 for k in range(3) for h in [decontaminate.hash_words(np.frombuffer(f"v{k}".encode(), np.uint8), np.array([0]), np.array([2]))[0]]}
+    want = {}
+    for i, t in enumerate(texts):
+        w = [number[x] for x in (t or "").split()]
+        n = min(4, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            want.setdefault(tuple(w[k : k + n]), set()).add(i)
+    assert got == want
+
+
+def test_long_patterned_words_differ():
+    """Words of a Thue-Morse pattern and its complement, which powers of one base can't tell apart."""
+    bits = np.array([k.bit_count() & 1 for k in range(2048)], np.uint8)
+    data = np.concatenate([97 + bits, 98 - bits]).astype(np.uint8)
+    a, b = decontaminate.hash_words(data, np.array([0, 2048]), np.array([2048, 4096]))
+    assert a != b
+
+
 def test_fm_index_against_scans():
     rng = np.random.default_rng(4)
     text = np.r_[rng.integers(1, 6, 400), 0]
     index = decontaminate.FmIndex(text, 7)
     phrases = [text[i : i + n] for i, n in itertools.product(range(0, 380, 7), (1, 3, 8))] + [np.array([5, 5, 5, 5, 5, 5]), np.array([6])]
-    symbols = np.zeros((len(phrases), 8), np.int32)
-    for i, p in enumerate(phrases):
-        symbols[i, : len(p)] = p
-    found, low, high = index.search(symbols, np.array([len(p) for p in phrases]))
+    sizes = np.array([len(p) for p in phrases])
+    found, low, high = index.search(np.concatenate(phrases), np.cumsum(sizes) - sizes, sizes)
     places = {k: sorted(index.locate(np.arange(a, b))) for k, a, b in zip(found, low, high, strict=True)}
     for k, p in enumerate(phrases):
         want = [i for i in range(len(text) - len(p) + 1) if (text[i : i + len(p)] == p).all()]

@@ -21,7 +21,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _rng = np.random.default_rng(20240229)
-BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+BYTE_CODES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,15 +79,15 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_powers = np.ones(1, dtype=np.uint64)
+_factors = np.ones(0, dtype=np.uint64)
 
 
-def powers(n: int) -> np.ndarray:
-    """Powers of the base modulo 2**64, at least n of them."""
-    global _powers
-    if len(_powers) < n:
-        _powers = np.multiply.accumulate(np.r_[np.uint64(1), np.full(1 << n.bit_length(), _BASE)])
-    return _powers
+def factors(n: int) -> np.ndarray:
+    """A factor for each of at least n places, odd and independent: powers of one base would let long patterned words collide."""
+    global _factors
+    if len(_factors) < n:
+        _factors = mix(np.arange(1, (1 << n.bit_length()) + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
+    return _factors
 
 
 def text_steps(column: pa.Array, step: int = STEP_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -145,7 +145,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     np.cumsum(sizes[:-1], out=begin[1:])
     place = np.arange(total, dtype=np.int64) - np.repeat(begin, sizes)
     codes = BYTE_CODES[data[np.repeat(starts, sizes) + place]]
-    codes *= powers(int(sizes.max()) + 1)[place]
+    codes *= factors(int(sizes.max()))[place]
     return mix(np.add.reduceat(codes, begin) ^ sizes.astype(np.uint64))
 
 

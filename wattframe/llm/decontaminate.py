@@ -6,11 +6,13 @@ than the shortest phrase hold none. Over these symbols the task sorts suffixes,
 transform, and answers ranks with a wavelet matrix. All phrases are searched backwards at once; rows of their final
 ranges walk to sampled suffix positions; the occurrences' spans merge per document.
 
-The benchmark goes to executors in blocks of at most BLOCK_CHARS characters (a larger one takes several passes), so
-what is broadcast doesn't grow with the corpus or, beyond the block, with the benchmark. Documents are not shuffled.
+The benchmark goes to executors in blocks of some BLOCK_CHARS characters, one pass over the documents for each, so what is
+broadcast doesn't grow with the corpus or, beyond a block, with the benchmark. An item is never cut: a longer one is a block
+of its own size. A document's row carries its finds from pass to pass. Documents are not shuffled.
 
 Words: A-Z lower-cased, then runs of digits, a-z and code points from U+0080. Null texts have no words; items
-without words or with a null id take no part; repeated item ids count once; very long texts are indexed whole.
+without words or with a null id take no part; repeated item ids count once; very long texts are indexed whole. Each row
+of documents gives one row with its own finds: repeated and null ids are not joined. Extra columns are carried or not read.
 """
 
 from __future__ import annotations
@@ -22,14 +24,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from wattframe.llm.common import LOWER, hash_words, map_batches, text_steps, words_of
+from wattframe.llm.common import LOWER, discard, hash_words, map_batches, settle, text_steps, words_of
 
 WINDOW = 13
 #: Symbols of one index.
 SHARD = 1_000_000
-#: Characters of benchmark text in one broadcast block.
-BLOCK_CHARS = 32_000_000
+#: Bytes of documents that a shard holds on to until its finds are known.
+HELD_BYTES = 64 << 20
+#: Characters of benchmark text in one broadcast block; the driver collects and indexes one block at a time.
+BLOCK_CHARS = 8_000_000
 #: Text positions from one sampled suffix to the next.
 SAMPLE = 8
 
@@ -37,37 +42,56 @@ IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
 
+def _ranks(words: np.ndarray, item: np.ndarray, width: int) -> np.ndarray:
+    """Equal numbers for equal windows of `width` words that start at a place; meant for places whose window ends inside its item."""
+    rank, n = words.astype(np.int64), 1
+    while n < width:
+        step = min(n, width - n)  # overlapping halves: their equality is that of the whole
+        after = np.zeros_like(rank)
+        after[:-step] = np.where(item[step:] == item[:-step], rank[step:] + 1, 0)
+        rank = np.unique(rank * (after.max(initial=0) + 1) + after, return_inverse=True)[1].astype(np.int64)
+        n += step
+    return rank
+
+
 class Phrases:
-    """The windows of some benchmark items as symbol sequences. Symbols: 0 ends a shard, 1 separates, words from 2."""
+    """The distinct windows of some benchmark items. Symbols: 0 ends a shard, 1 separates, words from 2.
+
+    A window is a start in the items' joined symbols and a size. All arrays: some 30 bytes for each benchmark word.
+    """
 
     def __init__(self, ids: list, texts: list[str | None], window: int) -> None:
         self.ids = ids
-        words: list[np.ndarray] = []
+        hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for _, data, offsets in text_steps(pa.array(texts, pa.large_string())):
             data = LOWER[data]
-            starts, ends, counts = words_of(data, offsets, IS_WORD)
-            words += np.split(hash_words(data, starts, ends), np.cumsum(counts)[:-1])
-        self.vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-        seen: dict[bytes, int] = {}
-        rows: list[np.ndarray] = []
-        owners: list[set[int]] = []
-        for item, hashes in enumerate(words):
-            symbols = (np.searchsorted(self.vocabulary, hashes) + 2).astype(np.int32)
-            n = min(window, len(symbols))
-            for i in range(len(symbols) - n + 1 if n else 0):
-                w = symbols[i : i + n]
-                at = seen.setdefault(w.tobytes(), len(rows))
-                if at == len(rows):
-                    rows.append(w)
-                    owners.append(set())
-                owners[at].add(item)
-        self.sizes = np.array([len(r) for r in rows], dtype=np.int64)
-        self.symbols = np.zeros((len(rows), window), dtype=np.int32)
-        for i, r in enumerate(rows):
-            self.symbols[i, : len(r)] = r
-        self.owners = np.array([o for x in owners for o in sorted(x)], dtype=np.int64)
-        self.owner_at = np.r_[0, np.cumsum([len(x) for x in owners])].astype(np.int64)
-        self.shortest = int(self.sizes.min()) if len(rows) else 0
+            starts, ends, many = words_of(data, offsets, IS_WORD)
+            hashes.append(hash_words(data, starts, ends))
+            counts.append(many)
+        many = np.concatenate(counts)
+        self.vocabulary, symbols = np.unique(np.concatenate(hashes), return_inverse=True)
+        self.text = (symbols + 2).astype(np.int32)
+        item = np.repeat(np.arange(len(many)), many)
+        begin = np.cumsum(many) - many
+        size = np.minimum(many, window)[item]
+        place = np.arange(len(item))
+        whole = place + size <= (begin + many)[item]
+        first, owner, at = [], [], 0
+        starts = []
+        for n in np.unique(size):
+            here = np.flatnonzero(whole & (size == n))
+            rank = _ranks(self.text, item, int(n))[here]
+            _, one, number = np.unique(rank, return_index=True, return_inverse=True)
+            starts.append(here[one])
+            first.append(np.full(len(one), n))
+            owner.append(np.stack([number + at, item[here]]))
+            at += len(one)
+        self.starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
+        self.sizes = np.concatenate(first).astype(np.int64) if first else np.zeros(0, np.int64)
+        pairs = np.unique(np.concatenate(owner, axis=1), axis=1) if owner else np.zeros((2, 0), np.int64)
+        self.owners = pairs[1]
+        self.owner_at = np.r_[0, np.cumsum(np.bincount(pairs[0], minlength=at))].astype(np.int64)
+        self.shortest = int(self.sizes.min()) if at else 0
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[self.vocabulary & np.uint64((1 << 20) - 1)] = True
 
@@ -133,14 +157,14 @@ class FmIndex:
         self.samples = order[self.sampled]
         self.length = len(text)
 
-    def search(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Phrases that occur, with the range of rows of each."""
+    def search(self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases (starts and sizes in symbols) that occur, with the range of rows of each."""
         alive = np.arange(len(sizes))
         low, high = np.zeros(len(sizes), np.int64), np.full(len(sizes), self.length, np.int64)
-        for back in range(1, symbols.shape[1] + 1):
+        for back in range(1, int(sizes.max(initial=0)) + 1):
             here = sizes[alive] >= back
             phrase = alive[here]
-            c = symbols[phrase, sizes[phrase] - back].astype(np.int64)
+            c = symbols[starts[phrase] + sizes[phrase] - back].astype(np.int64)
             low[phrase] = self.first[c] + self.tree.rank(c, low[phrase])
             high[phrase] = self.first[c] + self.tree.rank(c, high[phrase])
             alive = alive[low[alive] < high[alive]]
@@ -174,17 +198,16 @@ class Shard:
 
     def __init__(self, phrases: Phrases) -> None:
         self.p = phrases
-        self.ids, self.n_words, self.parts, self.rows, self.size = [], [], [], 0, 0
+        self.n_words, self.parts, self.rows, self.size = [], [], 0, 0
 
-    def add(self, ids: pa.Array, texts: pa.Array) -> None:
-        self.ids.append(ids)
+    def add(self, texts: pa.Array) -> None:
         for first, data, offsets in text_steps(texts):
             data = LOWER[data]
             starts, ends, counts = words_of(data, offsets, IS_WORD)
             self.n_words.append(counts)
             if self.p.shortest and len(starts):
                 self.keep(first, data, offsets, starts, ends, counts)
-        self.rows += len(ids)
+        self.rows += len(texts)
 
     def keep(self, first: int, data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> None:
         hashes = hash_words(data, starts, ends)
@@ -228,7 +251,7 @@ class Shard:
         text = np.r_[np.concatenate([x for x, _ in self.parts]), 0]
         row, word, start, end, first = np.concatenate([w for _, w in self.parts], axis=1)
         index = FmIndex(text, len(self.p.vocabulary) + 2)
-        found, low, high = index.search(self.p.symbols, self.p.sizes)
+        found, low, high = index.search(self.p.text, self.p.starts, self.p.sizes)
         if not len(found):
             return n_hit, items, spans, n_words
         phrase = np.repeat(found, high - low)
@@ -249,73 +272,103 @@ class Shard:
 
 
 SPAN = ("start", "end", "first_word", "end_word")
-SCHEMA = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int,first_word:int,end_word:int>>"
-
-
-def _scan(docs: DataFrame, ids: list, texts: list, window: int, id_col: str, text_col: str) -> DataFrame:
+SPANS = pa.list_(pa.struct([(k, pa.int32()) for k in SPAN]))
+#: What the scan adds to the columns of the documents.
+FOUND = "__n_words long, __n_hit long, __items array<string>, __spans array<struct<start:int,end:int,first_word:int,end_word:int>>"
+NAMES = [x.split()[0] for x in FOUND.split(", ")]
+
+
+def joined_spans(one: list[tuple], more: list[tuple]) -> list[tuple]:
+    """Spans of two block's finds in a document; those that overlap or adjoin become one."""
+    out: list[tuple] = []
+    for x in sorted([*one, *more], key=lambda x: x[2]):
+        if out and x[2] <= out[-1][3]:
+            start, end, first, last = out[-1]
+            out[-1] = (start, max(end, x[1]), first, max(last, x[3]))
+        else:
+            out.append(x)
+    return out
+
+
+def _scan(docs: DataFrame, ids: list, texts: list, window: int, text_col: str) -> DataFrame:
+    """The rows of docs with what a block's phrases hit, joined to what earlier blocks hit. No shuffle, a row for each row."""
     phrases = docs.sparkSession.sparkContext.broadcast(Phrases(ids, texts, window))
+    before = NAMES[0] in docs.columns
+    columns = [c for c in docs.columns if c not in NAMES]
+    at, n = docs.columns.index(text_col), len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = phrases.value
 
-        def result(shard: Shard) -> pa.RecordBatch:
+        def result(shard: Shard, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_hit, items, spans, n_words = shard.hits()
-            named = [sorted({str(p.ids[i]) for i in x}) for x in items]
-            span = pa.array([[dict(zip(SPAN, y, strict=True)) for y in x] for x in spans], pa.list_(pa.struct([(k, pa.int32()) for k in SPAN])))
-            return pa.RecordBatch.from_arrays([pa.concat_arrays(shard.ids), pa.array(n_words), pa.array(n_hit), pa.array(named, pa.list_(pa.string())), span], names=[id_col, "n_words", "n_hit", "items", "spans"])
-
-        shard = Shard(p)
+            row = 0
+            for batch in held:
+                rows = slice(row, row + batch.num_rows)
+                row += batch.num_rows
+                hit, named, where = n_hit[rows], [{str(p.ids[i]) for i in x} for x in items[rows]], spans[rows]
+                if before:
+                    old = [[tuple(y[k] for k in SPAN) for y in x] for x in batch.column(n + 3).to_pylist()]
+                    named = [x | set(y) for x, y in zip(named, batch.column(n + 2).to_pylist(), strict=True)]
+                    where = [joined_spans(x, y) for x, y in zip(old, where, strict=True)]
+                    hit = np.array([sum(x[3] - x[2] for x in y) for y in where], dtype=np.int64)
+                found = [pa.array(n_words[rows]), pa.array(hit), pa.array(list(map(sorted, named)), pa.list_(pa.string())), pa.array([[dict(zip(SPAN, y, strict=True)) for y in x] for x in where], SPANS)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *found], names=[*batch.schema.names[:n], *NAMES])
+
+        shard, held, size = Shard(p), [], 0
         for batch in batches:
-            shard.add(batch.column(0), batch.column(1))
-            if shard.size >= SHARD:
-                yield result(shard)
-                shard = Shard(p)
-        if shard.rows:
-            yield result(shard)
+            shard.add(batch.column(at))
+            held.append(batch)
+            size += batch.nbytes
+            if shard.size >= SHARD or size >= HELD_BYTES:
+                yield from result(shard, held)
+                shard, held, size = Shard(p), [], 0
+        if held:
+            yield from result(shard, held)
 
-    return map_batches(docs.select(id_col, text_col), run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {SCHEMA}")
+    plain = docs.select(*[F.col(f"`{c}`") for c in [*columns, *(NAMES if before else ())]])
+    found = StructType.fromDDL(FOUND)
+    return map_batches(plain, run, StructType([*[f for f in plain.schema.fields if f.name not in NAMES], *found.fields]))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, n_words, n_hit, items (ids as strings, sorted), spans to remove (code points, end exclusive).
+def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows and columns of docs, and the columns FOUND: n_words, n_hit, items (ids as strings, sorted), spans to remove.
 
-    A window is `window` consecutive words of an item, or all of a shorter item. With a benchmark beyond one block,
-    document ids must be unique: the passes' rows are merged by id.
+    Rows keep their own finds from block to block, so every row of docs gives one row whatever its id and whatever the
+    number of blocks. With several blocks each pass's rows are settled in the shared folder for the next pass.
     """
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("words")).filter("item is not null and words is not null")
     chars = items.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1
-    parts = []
+    out, used = docs, None
     for block in range(blocks):
-        rows = (items if blocks == 1 else items.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)).collect()
-        parts.append(_scan(docs, [r.item for r in rows], [r.words for r in rows], window, id_col, text_col))
-    if blocks == 1:
-        return parts[0]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return merge_blocks(every, id_col)
+        rows = items.filter(F.pmod(F.xxhash64("words", "item"), F.lit(blocks)) == block).collect()
+        out = _scan(out, [r.item for r in rows], [r.words for r in rows], window, text_col)
+        if block < blocks - 1:
+            done = settle(out, "decontaminated")
+            if used is not None:
+                discard(used)
+            out = used = done
+    return out
 
 
-def merge_blocks(rows: DataFrame, id_col: str) -> DataFrame:
-    """Joins what each benchmark block found in one document: at most one row and its spans from each block."""
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per row of docs: id_col, n_words, n_hit, items (ids as strings, sorted), spans to remove (code points, end exclusive).
+
+    A window is `window` consecutive words of an item, or all of a shorter item.
+    """
+    found = scan_documents(docs.select(id_col, text_col), benchmark, window, text_col, item_col, item_text_col)
+    return found.select(id_col, *[F.col(c).alias(c.removeprefix("__")) for c in NAMES])
 
-    def joined(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), last["first_word"].alias("first_word"), F.greatest(last["end_word"], x["end_word"]).alias("end_word"))
-        meets = (F.size(done) > 0) & (x["first_word"] <= last["end_word"])
-        return F.when(meets, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(x)))
 
-    none = F.array().cast("array<struct<start:int,end:int,first_word:int,end_word:int>>")
-    merged = rows.groupBy(id_col).agg(F.first("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("all_spans"))
-    merged = merged.withColumn("spans", F.when(F.size("all_spans") == 0, none).otherwise(F.aggregate("all_spans", none, joined)))
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end_word"] - x["first_word"])
-    return merged.select(id_col, "n_words", n_hit.alias("n_hit"), "items", "spans")
+def is_contaminated(n_words: str = "n_words", n_hit: str = "n_hit") -> Column:
+    """The contract's rule: windows hit a twentieth of the words or more."""
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The contract's columns."""
     return found.select(
         id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "spans",
+        is_contaminated().alias("contaminated"), "spans",
     )

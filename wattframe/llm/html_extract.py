@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import as_int64, hash_words, map_batches, mix, powers, settle, text_steps, words_of
+from wattframe.llm.common import as_int64, factors, hash_words, map_batches, mix, settle, text_steps, words_of
 
 #: Tokens of the shortest repeat that counts; a power of two for the doubling.
 REPEAT = 16
@@ -180,7 +180,7 @@ def substrings(pages: list[list[tuple[str, str]]]) -> tuple[np.ndarray, np.ndarr
     many = np.diff(total[np.r_[0, np.cumsum([len(p) for p in pages])].astype(np.int64)])
     at, found = _windows(hashes, many)
     begin = np.cumsum(many) - many
-    codes = mix(hashes) * powers(int(many.max(initial=0)) + 1)[np.arange(len(hashes)) - np.repeat(begin, many)]
+    codes = mix(hashes) * factors(int(many.max(initial=0)) + 1)[np.arange(len(hashes)) - np.repeat(begin, many)]
     stream = np.zeros(len(many), dtype=np.uint64)
     stream[many > 0] = mix(np.add.reduceat(codes, begin[many > 0]) + many[many > 0].astype(np.uint64)) if len(codes) else 0
     stream = as_int64(stream)[np.repeat(np.arange(len(many)), many)[at]]
