@@ -30,9 +30,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words benchmark windows cover a twentieth or more go; the others stay as they are."""
-    found = decontaminate.digests(decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark")))
-    gone = settle(found.filter("contaminated and doc_id is not null").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter(~decontaminate.is_contaminated("__n_words", "__n_hit")).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +42,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every remaining text."""
-    return bpe.encode_documents(docs, f"{queries.TOKENIZERS}/word_bpe_49k.json")
+    """Token ids, counts and digests of every remaining text."""
+    return bpe.encode_documents(docs, f"{queries.TOKENIZERS}/word_bpe_49k.json", keep_ids=True).drop("decoded")
 
 
 STAGES = [
