@@ -69,6 +69,36 @@ def test_nearest_with_other_norms(spark, case):
     assert found / (41 * 20) >= 0.9
 
 
+def test_nearest_over_many_shards(spark, monkeypatch):
+    """Clusters dealt over many shards, repeated ids with other vectors, and rows of another dimension."""
+    monkeypatch.setattr(ann, "SHARD_ROWS", 200)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(40, 32))[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 32)) * 0.4
+    ids = np.where(np.arange(2000) < 1900, np.arange(2000), np.arange(2000) - 1900)  # the last hundred repeat ids
+    rows = [(int(i), y.tolist()) for i, y in zip(ids, x, strict=True)] + [(5000 + k, [float(k), 1.0]) for k in range(30)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({c: F.lit(1) for c in ("id", "shard", "score", "rank", "range")})
+    got = ann.nearest(v, F.col("vec_id") % 100 == 0, 20).toPandas()
+    assert not got.duplicated(["query_id", "vec_id"]).any() and not got.duplicated(["query_id", "rank"]).any()
+    found, asked = 0, [q for q in range(0, 1900, 100)]
+    for q in asked:
+        best = {}
+        for n in np.flatnonzero(ids == q):
+            for i, s in zip(ids, x @ x[n], strict=True):
+                if i != q:
+                    best[i] = max(best.get(i, -np.inf), s)
+        want = sorted(best, key=lambda i: (-best[i], i))[:20]
+        mine = got[got.query_id == q].sort_values("rank")
+        assert list(mine["rank"]) == list(range(1, 21)) and list(mine.score) == sorted(mine.score, reverse=True)
+        found += len(set(mine.vec_id) & set(want))
+    assert found / (20 * len(asked)) >= 0.95
+    two = got[got.query_id == 5000].sort_values("rank")
+    assert list(two.vec_id) == list(range(5001, 5021)) and set(two.score) == {1.0}
+    rows = np.flatnonzero(ids < 1900)
+    shard = ann.Shard(ids[rows], x[rows])
+    shard.search(np.array([-1]), x[:1], 20)
+    assert shard.scored < len(rows)  # no switch to a scan of everything
+
+
 def test_nearest_ties_and_empty(spark):
     v = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(40)], "vec_id long, embedding array<float>")
     got = ann.nearest(v, F.col("vec_id") % 20 == 0, 5).orderBy("query_id", "rank").collect()
