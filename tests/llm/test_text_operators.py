@@ -198,6 +198,29 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+INSIDE = [
+    ("<table><tr><th class='table-header'>Year</th></tr><tr><td class='table-header'>1999</td></tr></table>", "Year\n1999"), ("<p class='share-price'>12.5</p>", "12.5"), ("<section id='ad-hoc-networks'>Mesh</section>", "Mesh"),
+    ("<div class='menu-review'>Soup</div>", "Soup"), ("<p>E <math><mi>m</mi><mo>=</mo></math></p>", "E m="), ("<noscript><p>Plain</p></noscript>", "Plain"), ("<div class='ad'>Buy</div>", ""), ("<div id='cookie_notice'>We use</div>", ""),
+    ("<section class='x comment-list'><p>Nice</p></section>", ""), ("<form>Mail <input></form><select><option>a</select>", ""), ("<div role='navigation'>Go</div>", ""), ("<p hidden>no</p>", ""),
+]
+
+
+@pytest.mark.parametrize(("inner", "text"), INSIDE)
+def test_names_inside_an_article(inner, text):
+    page = html_extract.blocks_of(f"<body><article><p>Start</p>{inner}<p>End</p></article></body>")
+    assert html_extract.extract_shard([page]) == ["\n".join(x for x in ("Start", text, "End") if x)]
+
+
+def test_teasers_beside_an_article():
+    """An article beside the longest one goes where its text repeats on another page, and stays where it is unique."""
+    lead = " ".join(f"t{k}" for k in range(html_extract.REPEAT + 3))
+    own = " ".join(f"o{k}" for k in range(60))
+    second = " ".join(f"s{k}" for k in range(20))
+    pages = [f"<article><p>{own}</p></article><article><p>{lead}</p></article><article><p>{second}</p></article>", f"<article><p>{lead}</p><p>{' '.join(f'r{k}' for k in range(50))}</p></article>"]
+    texts = html_extract.extract_shard(list(map(html_extract.blocks_of, pages)))
+    assert texts[0] == f"{own}\n{second}" and texts[1].startswith(lead)
+
+
 def test_repeats_over_the_shards_of_a_host(spark, monkeypatch):
     passage = [[f"b{j}_{k}" for k in range(html_extract.REPEAT + 4 * j)] for j in range(4)]
     words = {i: [f"u{i}_{k}" for k in range(30)] for i in range(60)}

@@ -1,17 +1,20 @@
 """Main text of web pages by markup zones and a suffix array of each host.
 
-A page's scan gives blocks of text, each in a zone: MAIN (inside article or main), CHROME (menus, headers, footers,
-sidebars, notices, adverts, forms, comments) or OPEN (anything else). Scripts, styles and markup give none.
+A page's scan gives blocks of text, each in a zone: MAIN (the longest article or main), SIDE (other articles beside it),
+CHROME (menus, headers, footers, sidebars, notices, adverts, forms, comments) or OPEN (anything else). Scripts, styles
+and markup give none.
 
 The pages of a host, in shards of bounded size, are one token stream with page numbers. Its suffixes are sorted
 to a depth of REPEAT tokens by prefix doubling; neighbours of equal rank are a substring of REPEAT tokens that repeats,
-and where it does so on distinct pages its tokens count as covered. Of open blocks the covered runs go and unique runs
-stay. An article that the markup names is main text however often its passages repeat, so it loses nothing, and on
-such a page open blocks are not main text. Chrome blocks always go, but they stand in the stream, so that a menu
-without markup on one page is recognised by its marked twin on another. Pages with the same stream count as one page.
+and where it does so on distinct pages its tokens count as covered. Of side and, on pages without an article, of open blocks the
+covered runs go and the unique runs stay: a teaser whose text stands on its own page too is boilerplate, a second part of
+an article is not. The article that the markup names is main text however often its passages repeat (pages quote and share
+passages), so it loses nothing, and on such a page open blocks are not main text. Chrome blocks always go, but they stand in the
+stream, so that a menu without markup on one page is recognised by its marked twin on another. Pages with the same
+stream count as one page. On a host of one page nothing repeats, so all its open text stays.
 
 Repeats count over the whole host, whatever its shards. Where a host has several shards and a page that can lose text
-(one without article or main that has open blocks), each shard's distinct substrings of REPEAT tokens are hashed, with
+(open blocks without an article, or side blocks), each shard's distinct substrings of REPEAT tokens are hashed, with
 the least and largest stream that holds each. An aggregate with partial sums finds the hashes of two streams or more,
 and these go back to the shards whose own such pages hold them.
 
@@ -36,27 +39,31 @@ from wattframe.llm.common import as_int64, factors, hash_words, map_batches, mix
 #: Tokens of the shortest repeat that counts; a power of two for the doubling.
 REPEAT = 16
 #: Characters of html in one shard of a host.
-SHARD_CHARS = 1_000_000
+SHARD_CHARS = 250_000
 #: Most hosts of several shards that are broadcast (name and number, some 50 bytes each).
 MOST_LARGE_HOSTS = 500_000
 
-MAIN, CHROME, OPEN = "m", "c", "o"
+MAIN, SIDE, CHROME, OPEN = "m", "s", "c", "o"
 
 _PLACE = np.random.default_rng(16).integers(0, 2**63, REPEAT, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Fixed names of the HTML standard and usual class names.
-SILENT = {"script", "style", "template", "noscript", "svg", "math", "iframe", "object", "canvas", "select", "textarea", "title"}
+SILENT = {"script", "style", "template", "svg", "iframe", "object", "canvas", "select", "textarea", "title"}
 CHROME_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button"}
 MAIN_TAGS = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 BOXES = {"aside", "dd", "div", "dl", "li", "ol", "p", "section", "span", "table", "td", "ul", "article"}
-CHROME_WORDS = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget"}
+#: Whole class, id and role names; a name that only contains one of them says nothing.
+CHROME_NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget"}
+#: Names of two parts, made by rule: a place and a kind, or a kind and a form.
+PLACES, PLACED = ["site", "page", "main", "top", "bottom", "left", "right", "global"], ["nav", "navigation", "navbar", "menu", "header", "footer", "sidebar"]
+KINDS, FORMS = ["ad", "advert", "cookie", "consent", "newsletter", "share", "social", "related", "comment", "comments", "sponsored", "promo"], ["banner", "bar", "box", "list", "links", "area", "section", "form", "signup", "posts", "buttons", "slot", "container", "notice", "widget", "thread"]
+CHROME_NAMES |= {f"{a}-{b}" for many, more in ((PLACES, PLACED), (KINDS, FORMS)) for a in many for b in more}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'">]++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.DOTALL)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true)|display\s*:\s*none""", re.IGNORECASE)
-WORDS = re.compile(r"[a-z0-9]+")
 
 
 def _is_chrome(tag: str, attributes: str) -> bool:
@@ -64,7 +71,7 @@ def _is_chrome(tag: str, attributes: str) -> bool:
         return True
     if tag not in BOXES or not attributes.strip():
         return False
-    return bool(HIDDEN.search(attributes)) or any(CHROME_WORDS.intersection(WORDS.findall((m[0] or m[1] or m[2]).lower())) for m in NAMED.findall(attributes))
+    return bool(HIDDEN.search(attributes)) or any(CHROME_NAMES.intersection((m[0] or m[1] or m[2]).lower().replace("_", "-").split()) for m in NAMED.findall(attributes))
 
 
 def blocks_of(page: str | None) -> list[tuple[str, str]]:
@@ -73,7 +80,9 @@ def blocks_of(page: str | None) -> list[tuple[str, str]]:
         return []
     out: list[tuple[str, str]] = []
     here: list[str] = []
-    at, main, end = 0, 0, len(page)
+    #: The article (by number) of each block in one.
+    regions: list[int] = []
+    at, main, region, end = 0, 0, 0, len(page)
     chrome, depth = "", 0
 
     def flush() -> None:
@@ -82,6 +91,7 @@ def blocks_of(page: str | None) -> list[tuple[str, str]]:
         text = " ".join((entities.unescape(text) if "&" in text else text).split())
         if text:
             out.append((CHROME if depth else MAIN if main else OPEN, text))
+            regions.append(region if main and not depth else 0)
 
     while at < end:
         m = TAG.search(page, at)
@@ -115,8 +125,16 @@ def blocks_of(page: str | None) -> list[tuple[str, str]]:
         elif starts:
             chrome, depth = name, 1
         elif name in MAIN_TAGS:
+            region += not closing and not main
             main = max(0, main + (-1 if closing else 1))
     flush()
+    if region > 1:
+        sizes: dict[int, int] = {}
+        for n, (_, text) in zip(regions, out, strict=True):
+            if n:
+                sizes[n] = sizes.get(n, 0) + len(text)
+        longest = max(sizes, key=lambda n: (sizes[n], -n), default=0)
+        out = [(SIDE if n and n != longest else zone, text) for n, (zone, text) in zip(regions, out, strict=True)]
     return out
 
 
@@ -158,9 +176,9 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def is_loose(blocks: list[tuple[str, str]]) -> bool:
-    """Whether repeats can take text from a page: it has open blocks and no named main text."""
+    """Whether repeats can take text from a page: it has side blocks, or open ones and no named main text."""
     zones = {zone for zone, _ in blocks}
-    return OPEN in zones and MAIN not in zones
+    return SIDE in zones or (OPEN in zones and MAIN not in zones)
 
 
 def _windows(hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +243,7 @@ def extract_shard(pages: list[list[tuple[str, str]]], repeats: np.ndarray | None
         for zone, text in blocks:
             if zone == MAIN and marked:
                 kept.append(text)
-            elif zone == OPEN and not marked:
+            elif zone == SIDE or (zone == OPEN and not marked):
                 gone = hit[total[block] : total[block + 1]]
                 if gone.any():
                     text = " ".join(w for w, g in zip(text.split(" "), gone, strict=True) if not g)
