@@ -473,6 +473,61 @@ def test_quality(spark):
     assert quality.classify(docs(spark, rows).limit(0), lab).count() == 0
 
 
+def plain_statistics(t):
+    raw = (t or "").encode()
+    kind = [int(quality.KIND[b]) for b in raw]
+    share = [kind.count(k) / max(len(raw), 1) for k in range(quality.KINDS)]
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+    words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", raw)]
+    lines = [x for x in raw.split(b"\n") if x]
+    n, sizes = max(len(words), 1), [b - a for a, b in words]
+    mean = sum(sizes) / n
+    names = [low[a:b] for a, b in words]
+    one = lambda f: sum(f(a, b) for a, b in words) / n
+    return np.array([
+        *share, np.log1p(len(raw)), np.log1p(len(words)), mean, np.sqrt(max(sum(s * s for s in sizes) / n - mean**2, 0)), max(sizes, default=0), one(lambda a, b: b - a <= 3),
+        one(lambda a, b: kind[a] == 3 and kind[min(a + 1, b - 1)] == 3), one(lambda a, b: kind[b - 1] in (7, 8, 9)), one(lambda a, b: 5 <= kind[a] <= 9 and 5 <= kind[b - 1] <= 9),
+        len(set(names)) / n, max((names.count(w) for w in set(names)), default=0) / n, np.log1p(len(lines)), len(words) / max(len(lines), 1), (len(lines) - len(set(lines))) / max(len(lines), 1),
+        sum(x[-1:] in (b".", b"!", b"?") for x in lines) / max(len(lines), 1), -sum(s * np.log(s) for s in share if s > 0),
+    ])
+
+
+def test_statistics_by_plain_python():
+    texts = [None, "", " ", "\n\n", "Ein É日 (Satz). SATZ satz!\nEin É日 (Satz). SATZ satz!\n\nx|", "#a# ??? A1", "long line " * 700, prose(300, 3) + "\n" + prose(40, 4) + ".", "\x00\x1f tab\tfeed\x0c\U0001F600"]
+    for step in (1, 64, 1 << 20):
+        got = [x for _, data, offsets in text_steps(quality.pa.array(texts), step) for x in quality.statistics(data, offsets)]
+        for t, x in zip(texts, got, strict=True):
+            assert np.allclose(x, plain_statistics(t), rtol=1e-9, atol=1e-7), (t or "")[:40]
+
+
+def test_training_rows(spark, monkeypatch):
+    rows = [(i, f"Text number {i}. " * 4 if i % 2 else "@@ %% " * 9) for i in range(200)]
+    labels = [(i, i % 2, 0) for i in range(200)]
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, quality int, toxic int")
+    full = quality.train(docs(spark, rows), frame(labels))
+    # Held-out labels are never learned from: turning them round changes nothing.
+    turned = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
+    other = quality.train(docs(spark, rows).repartition(3), frame(turned[::-1]).repartition(5))
+    assert (full.value == other.value).all() and (full.threshold == other.threshold).all()
+    ones = quality.train(docs(spark, rows), frame([(i, 1, 0) for i in range(200)]))
+    assert not len(ones.feature) and ones.score(np.zeros((1, len(quality.FEATURES))))[0] > 0.98
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, *_: seen.append(len(y)) or quality.Trees(np.zeros((0, 0), int), np.zeros((0, 0)), np.zeros((0, 0)), 0.0))
+    monkeypatch.setattr(quality, "least_leaf", lambda x, y: 10)
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 50)
+    quality.train(docs(spark, rows + rows[:30]), frame(labels + labels))
+    assert seen == [50]
+    taken = docs(spark, rows[:2]).withColumn("quality_score", F.lit(1))
+    assert quality.score_documents(taken, full).columns == [*taken.columns, "quality_quality_score"]
+
+
+def test_least_leaf_is_chosen_inside_the_training_rows():
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(400, 3))
+    y = (rng.random(400) < 1 / (1 + np.exp(-2 * x[:, 0]))).astype(float)
+    assert quality.least_leaf(x, y) in quality.LEASTS and quality.least_leaf(x[:0], y[:0]) == quality.LEASTS[0]
+
+
 def test_flattened_trees_equal_single_descents():
     rng = np.random.default_rng(10)
     x = rng.normal(size=(500, 6))

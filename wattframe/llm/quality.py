@@ -7,7 +7,8 @@ rows of a batch level by level in numpy.
 
 Null and empty texts have statistics of zeros and get a score as any other. Very long texts count whole. Repeated rows
 get a row each. Without labels the score is 0.5; with one class only it is that class's smoothed share. Labels with a
-null id or label take no part; labels that repeat for an id count each time.
+null id or label take no part; labels that repeat for an id count each time. Which labelled rows are learned from, and the
+least leaf size that an inner split of them picks, don't depend on the order or the partitions of the tables.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from wattframe.llm.common import LOWER, hash_words, map_batches, text_steps, wor
 
 #: Most labelled rows in training.
 TRAIN_ROWS = 20_000
-ROUNDS, DEPTH, BINS, RATE, LEAST, RIDGE = 120, 4, 64, 0.12, 10, 1.0
+ROUNDS, DEPTH, BINS, RATE, RIDGE = 120, 4, 64, 0.12, 1.0
+#: Least leaf sizes to choose from, and the rounds that the choice takes: the loss on every fourth training row decides.
+LEASTS, CHOICE_ROUNDS = (5, 10, 20, 40), 30
 THRESHOLD = 0.3
 
 _SPACES = [9, 10, 11, 12, 13, 32]
@@ -132,7 +135,18 @@ class Trees:
         return 1 / (1 + np.exp(-(self.base + self.value[tree, node - (2**DEPTH - 1)].sum(axis=1))))
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Trees:
+def least_leaf(x: np.ndarray, y: np.ndarray) -> int:
+    """The least leaf size with the lowest logistic loss on an inner split of the training rows; the larger of equals."""
+    inner = np.arange(len(y)) % 4 == 0
+
+    def loss(least: int) -> float:
+        p = np.clip(fit(x[~inner], y[~inner], least, CHOICE_ROUNDS).score(x[inner]), 1e-9, 1 - 1e-9)
+        return round(float(-np.mean(y[inner] * np.log(p) + (1 - y[inner]) * np.log(1 - p))), 9)
+
+    return min(LEASTS, key=lambda n: (loss(n), -n)) if inner.any() and not inner.all() else LEASTS[0]
+
+
+def fit(x: np.ndarray, y: np.ndarray, least: int = 10, rounds: int = ROUNDS) -> Trees:
     """Logistic loss, quantile bins, second-order leaf values."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     base = float(np.log(share / (1 - share)))
@@ -141,9 +155,9 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     inner = 2**DEPTH - 1
-    feature, threshold, value = np.zeros((ROUNDS, inner), np.int64), np.full((ROUNDS, inner), np.inf), np.zeros((ROUNDS, 2**DEPTH))
+    feature, threshold, value = np.zeros((rounds, inner), np.int64), np.full((rounds, inner), np.inf), np.zeros((rounds, 2**DEPTH))
     margin = np.full(len(y), base)
-    for t in range(ROUNDS):
+    for t in range(rounds):
         p = 1 / (1 + np.exp(-margin))
         g, h = y - p, p * (1 - p)
         node = np.zeros(len(y), dtype=np.int64)
@@ -161,7 +175,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Trees:
                 ns = np.bincount(key, minlength=width * BINS).reshape(width, BINS).cumsum(axis=1)
                 gt, ht, nt = gs[:, -1:], hs[:, -1:], ns[:, -1:]
                 gain = gs**2 / (hs + RIDGE) + (gt - gs) ** 2 / (ht - hs + RIDGE) - gt**2 / (ht + RIDGE)
-                gain[(ns < LEAST) | (nt - ns < LEAST)] = 0
+                gain[(ns < least) | (nt - ns < least)] = 0
                 gain[:, len(e) :] = 0
                 top = gain.argmax(axis=1)
                 better = gain[np.arange(width), top] > best + 1e-9
@@ -186,26 +200,28 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fits on at most TRAIN_ROWS labelled rows outside the held-out part."""
     chosen = labels.select(F.col(label_id).alias(id_col), F.col(label_col).cast("int").alias("label")).filter(F.col(id_col).isNotNull() & F.col("label").isin(0, 1) & ~held_out(id_col))
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col, "label").limit(TRAIN_ROWS)
-    texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select("label", F.col(text_col).alias("text"))
+    texts = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(F.col(id_col).cast("string").alias("id"), "label", F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in text_steps(batch.column(1)):
+            for first, data, offsets in text_steps(batch.column(2)):
                 x = statistics(data, offsets)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(x)), pa.array(list(x))], names=["label", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(x)), batch.column(1).slice(first, len(x)), pa.array(list(x))], names=["id", "label", "x"])
 
-    rows = map_batches(texts, run, "label int, x array<double>").toArrow()
+    # Documents may repeat ids: the bound holds for what comes back, too.
+    rows = map_batches(texts, run, "id string, label int, x array<double>").orderBy(F.xxhash64("id", "x"), "id", "label", "x").limit(TRAIN_ROWS).toArrow()
     x = np.array(rows.column("x").to_pylist()).reshape(-1, len(FEATURES))
     y = rows.column("label").to_numpy().astype(float)
-    order = np.lexsort(np.c_[x, y].T)  # the same model whatever order the rows came in
-    return fit(x[order], y[order])
+    return fit(x, y, least_leaf(x, y))
 
 
 def score_documents(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs, and score. No shuffle."""
+    """All columns of docs, and one more at the end: score, or a name that they leave free. No shuffle."""
     model = docs.sparkSession.sparkContext.broadcast(trees)
     at = docs.columns.index(text_col)
-    name = "score" if "score" not in docs.columns else "quality_score"
+    name = "score"
+    while name.lower() in map(str.lower, docs.columns):
+        name = f"quality_{name}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
