@@ -158,6 +158,36 @@ def test_redaction(spark):
     assert secrets.redact(before).columns == before.columns
 
 
+def redacted(text, spans):
+    out, at = "", 0
+    for s, _, e in spans:
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_redaction_of_many_and_overlapping_spans(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE", 50)
+    monkeypatch.setattr(secrets, "BLOCK", 4)
+    texts = [t for _, t in SECRETS if t] + ["é\n token=deadbeefdeadbeefdead x" * 30, "token=abcdefghijklmnop" + "secret:abcdefghijklmnop" * 9, "日" * 333 + "AKIA" + "Z" * 100]
+    found = {r.doc_id: (r.text, [(s.s, s.k, s.e) for s in r.spans]) for r in secrets.find_secrets(docs(spark, list(enumerate(texts)))).collect()}
+    assert any(a[2] > b[0] for _, spans in found.values() for a, b in itertools.pairwise(spans))
+    for i, t in enumerate(texts):
+        assert [x for x in found[i][1] if x[1] < 3] == base_spans(t)
+    assert {r.doc_id: r.text for r in secrets.redact(docs(spark, list(enumerate(texts)))).collect()} == {i: redacted(*f) for i, f in found.items()}
+
+
+ALLOWED = ["123e4567-e89b-12d3-a456-426614174000", "31415926535897932384626433832795", "your-Api9Key8-placeholder-7xQ2mZ5pL4kV8t", "AbcdefghijklmnopQ9x2mZ7pL4kV8tR1w", "Example9fQ2mZ7pL4kV8tR1wS6yB3nC5", "0123456789abcdef0123456789ABCDEF"]
+
+
+def test_allow_list(spark):
+    rows = [(i, f"see {t} there") for i, t in enumerate([*ALLOWED, "x9fQ2mZ7pL4kV8tR1wS6yB3nC5dG0hJ", "0a1B2c3D4e5F60718293a4b5c6D7e8F9"])]
+    found = {r.doc_id: [(s.s, s.k, s.e) for s in r.spans if s.k >= 3] for r in secrets.find_secrets(docs(spark, rows)).collect()}
+    assert all(not found[i] for i in range(len(ALLOWED))), found
+    assert found[len(ALLOWED)] and any(k == 3 for _, k, _ in found[len(ALLOWED) + 1])
+
+
 # 3
 
 

@@ -4,8 +4,8 @@ Known forms (assign, access, hex) are leftmost non-overlapping matches. Their pl
 matches: a match starts after all earlier pieces and matches, counted in code points.
 
 Entropy: a candidate is a maximal run of a class's characters of WINDOW or more. A window of WINDOW characters slides
-over it; entering and leaving characters change one count each and with it the running sum of c * log2(c), so the
-entropy log2(WINDOW) - sum / WINDOW costs one step. Windows at or over the class's threshold merge into spans.
+over it; the entering and the leaving character change one count each and with them the running sum of c * log2(c), from
+which the entropy follows as log2(WINDOW) - sum / WINDOW. Counts are an array of the class's alphabet, rewritten once a step. Windows at or over the class's threshold merge into spans.
 Allow-listed candidates (plain words, numbers, UUIDs, known placeholders, sequences) are suppressed.
 
 Everything is Spark SQL functions on a row of its own: no shuffle, no Python. Null texts count as empty; very long
@@ -36,6 +36,11 @@ CLASSES = {
 #: Candidates that are no secrets.
 ALLOWED = r"^[A-Za-z]+$|^[a-z_-]+$|^[A-Z_-]+$|^[0-9]+$|^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$|(?i)example|placeholder|0123456789abcdef|abcdefghijklmnop|xxxxxxxx"
 
+#: Elements of one block of a running total.
+BLOCK = 128
+#: Code points of one piece of a text that is redacted.
+PIECE = 2048
+
 KINDS = ["assign", "access", "hex", *CLASSES]
 _SPAN = "array<struct<s:bigint,k:int,e:bigint>>"
 
@@ -44,13 +49,38 @@ def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _before(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Of each element: what join (associative, zero as its start) makes of all earlier ones.
+
+    Blocks of BLOCK elements are run through one by one and then shifted by the run of whole blocks, so that appending to
+    an array costs a block at most.
+    """
+    zero = F.lit(0).cast("long")
+    start = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("all"))
+    run = lambda x: F.aggregate(x, start, lambda a, v: F.struct(join(a["at"], v).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))
+
+    def in_blocks(x: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda k: run(F.slice(x, k * BLOCK + 1, F.lit(BLOCK))))
+        moved = lambda all_: F.flatten(F.zip_with(all_, run(F.transform(all_, lambda b: b["at"]))["all"], lambda b, o: F.transform(b["all"], lambda v: join(o, v))))
+        return _bound(blocks, moved)
+
+    return _bound(values, lambda x: F.when(F.size(x) == 0, F.array().cast("array<bigint>")).otherwise(in_blocks(x)))
+
+
 def _places(text: Column, found: Column, pattern: str) -> Column:
-    """Start of each match."""
-    before = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
-    step = F.zip_with(F.slice(before, 1, F.size(found)), found, lambda b, m: F.struct(b.alias("b"), F.length(m).cast("long").alias("m")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all"))
-    end = F.aggregate(step, start, lambda a, x: F.struct((a["at"] + x["b"] + x["m"]).alias("at"), F.concat(a["all"], F.array(a["at"] + x["b"])).alias("all")))
-    return F.when(F.size(found) == 0, F.array().cast("array<bigint>")).otherwise(end["all"])
+    """Start of each match: the lengths of all pieces and matches before it and of its own piece."""
+    pieces = F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
+
+    def places(piece: Column) -> Column:
+        ends = F.zip_with(F.slice(piece, 1, F.size(found)), found, lambda b, m: b + F.length(m).cast("long"))
+        return F.zip_with(_before(ends, lambda a, v: a + v), F.slice(piece, 1, F.size(found)), lambda a, b: a + b)
+
+    return F.when(F.size(found) == 0, F.array().cast("array<bigint>")).otherwise(_bound(pieces, places))
 
 
 def _spans(starts: Column, found: Column, kind: int, held: Column | None = None) -> Column:
@@ -64,30 +94,30 @@ def _spans(starts: Column, found: Column, kind: int, held: Column | None = None)
 def entropy_spans(candidate: Column, start: Column, kind: int, alphabet: str, least: float) -> Column:
     """Merged spans of the windows of one candidate string that hold `least` bits or more."""
     weigh = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
-    place = lambda i: F.instr(F.lit(alphabet), F.substring(candidate, i, F.lit(1))).cast("int")
-
-    def changed(counts: Column, at: Column, by: int) -> Column:
-        return F.transform(counts, lambda c, i: F.when(i == at - 1, c + by).otherwise(c))
-
-    def step(a: Column, i: Column) -> Column:
-        into, out = place(i), place(i - WINDOW)
-        leaves = i > WINDOW
-        # Count of the leaving character first, so that both changes see current counts.
-        gone = F.when(leaves, F.element_at(a["counts"], F.greatest(out, F.lit(1)))).otherwise(F.lit(0.0))
-        less = F.when(leaves, changed(a["counts"], out, -1)).otherwise(a["counts"])
-        had = F.when(leaves & (into == out), gone - 1).otherwise(F.element_at(a["counts"], into))
-        total = a["sum"] + F.when(leaves, weigh(gone - 1) - weigh(gone)).otherwise(F.lit(0.0)) + weigh(had + 1) - weigh(had)
-        bits = F.lit(math.log2(WINDOW)) - total / WINDOW
-        s, e = start + i - WINDOW, start + i
-        last = F.try_element_at(a["spans"], F.lit(-1))
-        one = F.struct(s.cast("long").alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
-        longer = F.struct(last["s"].alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
-        more = F.when((F.size(a["spans"]) > 0) & (last["e"] >= s), F.concat(F.slice(a["spans"], F.lit(1), F.size(a["spans"]) - 1), F.array(longer))).otherwise(F.concat(a["spans"], F.array(one)))
-        spans = F.when((i >= WINDOW) & (bits >= least), more).otherwise(a["spans"])
-        return F.struct(changed(less, into, 1).alias("counts"), total.alias("sum"), spans.cast(_SPAN).alias("spans"))
-
-    zero = F.struct(F.array_repeat(F.lit(0.0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.array().cast(_SPAN).alias("spans"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), zero, step)["spans"]
+
+    def spans_of(codes: Column) -> Column:
+        def step(a: Column, i: Column) -> Column:
+            into, leaves = F.get(codes, i - 1), i > WINDOW
+            out = F.when(leaves, F.get(codes, i - WINDOW - 1)).otherwise(F.lit(0))
+            # Count of the leaving character first, so that both changes see current counts.
+            gone = F.when(leaves, F.get(a["counts"], out - 1)).otherwise(F.lit(0.0))
+            had = F.get(a["counts"], into - 1) - F.when(into == out, 1.0).otherwise(0.0)
+            total = a["sum"] + F.when(leaves, weigh(gone - 1) - weigh(gone)).otherwise(F.lit(0.0)) + weigh(had + 1) - weigh(had)
+            counts = F.when(into == out, a["counts"]).otherwise(F.transform(a["counts"], lambda c, k: F.when(k == into - 1, c + 1).when(k == out - 1, c - 1).otherwise(c)))
+            bits = F.lit(math.log2(WINDOW)) - total / WINDOW
+            s, e = start + i - WINDOW, start + i
+            last = F.try_element_at(a["spans"], F.lit(-1))
+            one = F.struct(s.cast("long").alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
+            longer = F.struct(last["s"].alias("s"), F.lit(kind).alias("k"), e.cast("long").alias("e"))
+            more = F.when((F.size(a["spans"]) > 0) & (last["e"] >= s), F.concat(F.slice(a["spans"], F.lit(1), F.size(a["spans"]) - 1), F.array(longer))).otherwise(F.concat(a["spans"], F.array(one)))
+            spans = F.when((i >= WINDOW) & (bits >= least), more).otherwise(a["spans"])
+            return F.struct(counts.alias("counts"), total.alias("sum"), spans.cast(_SPAN).alias("spans"))
+
+        zero = F.struct(F.array_repeat(F.lit(0.0), len(alphabet)).alias("counts"), F.lit(0.0).alias("sum"), F.array().cast(_SPAN).alias("spans"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(codes)), zero, step)["spans"]
+
+    codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c).cast("int"))
+    return _bound(F.filter(codes, lambda c: c > 0), spans_of)
 
 
 def _entropy(kind: int, alphabet: str, least: float) -> Callable[[Column], Column]:
@@ -129,16 +159,28 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """docs with every secret span replaced by a mark; texts without secrets stay as they are, null texts null."""
-    found = find_secrets(docs.withColumn(id_col, F.struct(*docs.columns)), id_col, text_col)
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        inside = x["s"] < a["at"]
-        gap = F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.greatest(x["s"] - a["at"], F.lit(0)).cast("int"))
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(inside, a["out"]).otherwise(F.concat(a["out"], gap, F.lit(mark))).alias("out"))
+    """docs with every secret span replaced by a mark; texts without secrets stay as they are, null texts null.
 
-    end = F.aggregate("spans", zero, step)
-    rest = F.substring(F.col("text"), (end["at"] + 1).cast("int"), F.length("text"))
-    clean = F.when(F.size("spans") > 0, F.concat(end["out"], rest)).otherwise(F.col(f"{id_col}.{text_col}"))
+    Spans that overlap share a mark, adjacent ones have one each.
+    """
+    found = find_secrets(docs.withColumn(id_col, F.struct(*docs.columns)), id_col, text_col)
+    long = lambda x: x.cast("long")
+
+    def between(pieces: Column, a: Column, b: Column) -> Column:
+        """Code points a to b; only pieces that hold them are looked at."""
+        i, j = F.floor(a / PIECE).cast("int"), F.floor(b / PIECE).cast("int")
+        piece = lambda k: F.coalesce(F.get(pieces, k), F.lit(""))
+        head, size = (a % PIECE + 1).cast("int"), (b - a).cast("int")
+        over = F.concat(F.substring(piece(i), head, F.lit(PIECE)), F.array_join(F.slice(pieces, i + 2, j - i - 1), ""), F.substring(piece(j), F.lit(1), (b % PIECE).cast("int")))
+        return F.when(i == j, F.substring(piece(i), head, size)).otherwise(over)
+
+    def cleaned(x: Column) -> Column:
+        ends = F.transform(F.col("spans"), lambda s: long(s["e"]))
+        parts = F.zip_with(x["done"], F.col("spans"), lambda at, s: F.when(s["s"] < at, F.lit("")).otherwise(F.concat(between(x["pieces"], at, s["s"]), F.lit(mark))))
+        rest = between(x["pieces"], F.array_max(ends), long(F.length("text")))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    done = _before(F.transform("spans", lambda s: long(s["e"])), lambda a, v: F.greatest(a, v))
+    work = F.struct(_found(F.col("text"), f"(?s).{{1,{PIECE}}}").alias("pieces"), done.alias("done"))
+    clean = F.when(F.size("spans") > 0, _bound(work, cleaned)).otherwise(F.col(f"{id_col}.{text_col}"))
     return found.select(*[(clean if c == text_col else F.col(f"{id_col}.{c}")).alias(c) for c in docs.columns])
