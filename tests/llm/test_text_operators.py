@@ -203,6 +203,41 @@ def test_licenses(spark):
     assert licenses.find_licenses(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_licenses_by_brute_force(spark):
+    """Every template that a window of its class contains at 0.75, and the first such window; ties, long templates, edits."""
+    rng = np.random.default_rng(15)
+    long = prose(90, 70, 300)  # beyond the widest class
+    templates = [*licenses.TEMPLATES, ("own", long), ("own-2", long), ("tiny", "w1 w2 w3 w4 w5 w6")]
+    rows, texts = [], [t for _, t in templates]
+    for i in range(60):
+        w = texts[i % len(texts)].split()
+        cut = w[: len(w) - int(rng.integers(0, max(1, len(w) // 3)))]
+        rows.append((i, " ".join([prose(int(rng.integers(0, 150)), i, 9), *edited(" ".join(cut), int(rng.integers(0, 2)), rng).split(), prose(int(rng.integers(0, 60)), i + 1, 9)])))
+    rows += [(100, "license " * 40000), (101, "permission is hereby " * 9000 + licenses.TEMPLATES[4][1]), (102, None), (103, "MIT"), (103, "again")]
+    got = {(r.doc_id, tuple((m.word, m.license) for m in r.matches)) for r in licenses.find_licenses(docs(spark, rows), templates).collect()}
+    sizes = {}
+    for n, (_, t) in enumerate(templates):
+        w = licenses.template_words(t)
+        grams = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+        sizes[n] = (grams, next((x for x in licenses.WIDTHS if 2 * len(grams) <= x), 4 * len(grams)))
+    want = set()
+    for i, t in rows:
+        w = licenses.template_words(t or "")
+        grams = [tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))]
+        known, first = set(grams), {}
+        for n, (name, _) in enumerate(templates):
+            wanted, width = sizes[n]
+            if len(wanted & known) < 0.75 * len(wanted):
+                continue
+            for start in range(0, len(grams), max(1, width // 2)):
+                if len(wanted & set(grams[start : start + width])) >= 0.75 * len(wanted):
+                    first[name] = min(first.get(name, start), start)
+                    break
+        want.add((i, tuple(sorted((s, name) for name, s in first.items()))))
+    assert got == want
+    assert {m for _, x in want for _, m in x} >= {"own", "own-2", "tiny", "mit", "isc", "bsd"}
+
+
 def test_marker_words_are_necessary():
     markers = set(licenses.marker_words(licenses.TEMPLATES))
     for _, text in licenses.TEMPLATES:
