@@ -633,6 +633,34 @@ def test_edited_counts(spark):
     assert token_counts.count_edited(docs(spark, rows).limit(0), path, token_counts.usual_edits(F.col("text"))).count() == 0
 
 
+def test_overlapping_and_null_edits(spark):
+    text = "The quick brown fox jumps over the lazy dog. " * 20
+    path = f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken"
+    with open(path, encoding="ascii") as f:
+        counter = token_counts.Counter(f.read())
+    cases = {1: [(10, 50, "A"), (30, 70, "B")], 2: None, 3: [None, (5, 9, None)], 4: [(None, 4, "start"), (10**6, 10**6, "end")], 5: [(7, 3, "x")], 6: [(3, 3, "a"), (3, 3, "a")]}
+    rows = spark.createDataFrame([(i, text, e) for i, e in cases.items()], f"doc_id long, text string, e {token_counts.EDITS}")
+    got = {r.doc_id: r for r in token_counts.count_edited(rows, path, F.col("e")).collect()}
+    for i, edits in cases.items():
+        after = text
+        for a, b, t in sorted(((e[0] or 0, e[1] or 0, e[2] or "") for e in edits or () if e), key=lambda e: e[:2], reverse=True):
+            a = min(a, len(after))
+            after = after[:a] + t + after[max(a, min(b, len(after))) :]
+        assert got[i].n_tokens_after == len(counter.encoding.encode_ordinary(after)), i
+    assert got[2].n_recut == 0 and got[2].n_tokens == got[2].n_tokens_after
+
+
+def test_regions_stay_small_after_a_large_insertion():
+    with open(f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken", encoding="ascii") as f:
+        counter = token_counts.Counter(f.read())
+    tree = token_counts.TokenTree(prose(500, 51), counter)
+    tree.edit(100, 100, " " + prose(50000, 52))
+    for at in (0, 90, 70000, tree.chars[1]):
+        tree.edit(at, at, "!")
+        assert tree.encoded < 6 * token_counts.LEAF
+    assert tree.tokens[1] == len(counter.encoding.encode_ordinary("".join("".join(x) for x in tree.leaves)))
+
+
 def test_edits_by_random_texts():
     with open(f"{queries.TOKENIZERS}/byte_bpe_50k.tiktoken", encoding="ascii") as f:
         counter = token_counts.Counter(f.read())

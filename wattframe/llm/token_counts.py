@@ -3,7 +3,8 @@
 A document's pre-tokens (the pieces a tokenizer's pattern cuts a text into; merges never cross them) stand in leaves
 of LEAF pieces. Over the leaves a binary tree holds sums of characters and of tokens. An edit descends by characters to the
 leaves it touches, cuts only their text anew, with the neighbouring context that the pattern may look at, encodes the new
-pieces, and updates the sums on the way to the root. If the new cut doesn't meet the next leaf's old boundary, the
+pieces, and updates the sums on the way to the root. Leaves that an edit overfills split, and the tree over them is planted
+anew from known sums. If the new cut doesn't meet the next leaf's old boundary, the
 region grows by that leaf.
 
 Counting a corpus and its edited form so costs one full pass over the texts and a bounded region for each edit. Documents
@@ -31,8 +32,8 @@ from wattframe.llm.common import map_batches
 LEAF = 64
 #: Characters before an edit that the pattern's decisions may rest on.
 CONTEXT = 2
-#: Pieces that a task's memo of counts holds.
-MEMO = 400_000
+#: Pieces that a task's memo of counts holds, and characters of the longest one.
+MEMO, LONGEST = 400_000, 64
 #: Fixed value: the published pattern of byte-level vocabularies of this kind.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 EDITS = "array<struct<start:int,end:int,text:string>>"
@@ -50,32 +51,35 @@ class Counter:
     def count(self, piece: str) -> int:
         n = self.memo.get(piece)
         if n is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            n = self.memo[piece] = len(self.encoding.encode_ordinary(piece))
+            n = len(self.encoding.encode_ordinary(piece))
+            if len(piece) <= LONGEST:
+                if len(self.memo) >= MEMO:
+                    self.memo.clear()
+                self.memo[piece] = n
         return n
 
 
 class TokenTree:
     def __init__(self, text: str, counter: Counter) -> None:
         self.counter = counter
-        pieces = counter.pieces(text)
-        self.leaves = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
-        self.size = 1 << (len(self.leaves) - 1).bit_length()
-        self.leaves += [[] for _ in range(self.size - len(self.leaves))]
-        self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
         self.encoded = 0
-        for i, leaf in enumerate(self.leaves):
-            self._fill(i, leaf)
+        pieces = counter.pieces(text)
+        self._plant([self._leaf(pieces[i : i + LEAF]) for i in range(0, len(pieces), LEAF)])
+
+    def _leaf(self, pieces: list[str]) -> tuple[list[str], int, int]:
+        self.encoded += len(pieces)
+        return pieces, sum(map(len, pieces)), sum(map(self.counter.count, pieces))
+
+    def _plant(self, leaves: list[tuple[list[str], int, int]]) -> None:
+        """The tree over leaves whose sums are known."""
+        self.size = 1 << (max(1, len(leaves)) - 1).bit_length()
+        rest = self.size - len(leaves)
+        self.leaves = [x for x, _, _ in leaves] + [[] for _ in range(rest)]
+        self.chars = [0] * self.size + [n for _, n, _ in leaves] + [0] * rest
+        self.tokens = [0] * self.size + [n for _, _, n in leaves] + [0] * rest
         for i in range(self.size - 1, 0, -1):
             self._sum(i)
 
-    def _fill(self, i: int, leaf: list[str]) -> None:
-        count = self.counter.count
-        self.chars[self.size + i] = sum(map(len, leaf))
-        self.tokens[self.size + i] = sum(map(count, leaf))
-        self.encoded += len(leaf)
-
     def _sum(self, i: int) -> None:
         self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
         self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
@@ -118,10 +122,14 @@ class TokenTree:
             last = after
         many = last - first + 1
         self.encoded = 0
+        if len(pieces) > 2 * LEAF * many:  # overfull leaves split, so that a later edit's region stays small
+            old = [*zip(self.leaves, self.chars[self.size :], self.tokens[self.size :], strict=True)]
+            new = [self._leaf(pieces[i : i + LEAF]) for i in range(0, len(pieces), LEAF)]
+            self._plant([x for x in [*old[:first], *new, *old[last + 1 :]] if x[0]])
+            return
         for k in range(many):
-            leaf = pieces[len(pieces) * k // many : len(pieces) * (k + 1) // many]
-            self.leaves[first + k] = leaf
-            self._fill(first + k, leaf)
+            leaf, n_chars, n_tokens = self._leaf(pieces[len(pieces) * k // many : len(pieces) * (k + 1) // many])
+            self.leaves[first + k], self.chars[self.size + first + k], self.tokens[self.size + first + k] = leaf, n_chars, n_tokens
         low, high = (self.size + first) // 2, (self.size + last) // 2
         while low:
             for i in range(low, high + 1):
