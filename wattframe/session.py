@@ -47,7 +47,21 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is set, a local master (tests) gets a folder of its own; a cluster is refused, since a folder of one
+    machine would lose data with it.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = tempfile.mkdtemp(prefix="wattframe-shared-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "wattframe-scratch")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder name in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
