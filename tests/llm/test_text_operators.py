@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import re
 import zlib
 
@@ -495,6 +496,8 @@ def test_near_duplicates(spark, monkeypatch):
             assert r.kept == (r.doc_id == r.component_id or r.doc_id is None)
         assert {r.doc_id: r.n_shingles for r in got}[304] == len(shingles(rows[-4][1]))
     assert minhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
+    left = sorted(x.split("-")[0] for x in os.listdir(spark.conf.get("spark.checkpoint.dir")))
+    assert not {"sketches", "members", "links", "labels", "sets", "open", "component"} & set(left), left
 
 
 def test_a_long_chain_is_one_component(spark):

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from wattframe.session import ship
+from wattframe.session import scratch, ship
 
 #: Bytes of text that one vectorised step handles; bounds a worker's memory whatever the batch holds.
 STEP_BYTES = 1 << 20
@@ -30,32 +28,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), "wattframe-checkpoints")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+#: Paths of settled tables, a list for each temporary() around.
+_held: list[list[str]] = []
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
+    if _held:
+        _held[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.settled_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes a settled table once everything made from it is settled too."""
-    spark = df.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.settled_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.settled_path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables settled inside go at the end, also after a failure, but for those given to the yielded function."""
+    mine: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        mine.remove(df.settled_path)
+        return df
+
+    _held.append(mine)
+    try:
+        yield keep
+    finally:
+        _held.remove(mine)
+        for path in mine:
+            _delete(spark, path)
 
 
 #: Bytes of one Arrow batch between Spark and a Python worker: batches hold whole texts, so rows alone don't bound them.
@@ -63,9 +77,15 @@ BATCH_BYTES = 4 << 20
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow with batches bounded in bytes."""
-    ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """mapInArrow with batches bounded in bytes.
+
+    The bound is a setting of the session, read when the plan runs, so it can't be put back here; a lower one of the caller stays.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    bound = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")
+    if not bound.isdigit() or not 0 < int(bound) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 

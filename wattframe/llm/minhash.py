@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import LOWER, as_int64, discard, hash_words, map_batches, mix, settle, text_steps, words_of
+from wattframe.llm.common import LOWER, as_int64, discard, hash_words, map_batches, mix, settle, temporary, text_steps, words_of
 
 SHINGLE = 5
 ROWS, BANDS = 6, 70
@@ -233,7 +233,15 @@ def screen_blocks(inside: DataFrame, heads: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id_col, n_shingles, component_id (smallest id reachable over links), kept. Ids are integers."""
+    """One row per document: id_col, n_shingles, component_id (smallest id reachable over links), kept. Ids are integers.
+
+    The result is settled in the shared folder, the tables on the way to it are deleted.
+    """
+    with temporary(docs.sparkSession) as keep:
+        return keep(settle(_near_duplicates(docs, id_col, text_col), "near-duplicates"))
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sketched = settle(sketch_documents(docs, "id", "text"), "sketches")
     some = sketched.filter("n_shingles > 0 and id is not null")
