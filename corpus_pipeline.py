@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm import bpe, decontaminate, minhash, quality, queries, secrets
-from wattframe.llm.common import settle, table
+from wattframe.llm.common import discard, settle, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +61,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        done = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if hasattr(docs, "settled_path"):
+            discard(docs)
+        docs = done
     return docs
