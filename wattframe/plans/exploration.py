@@ -173,10 +173,10 @@ def db_02_latest_month(spark, sf):
     return x.groupBy("market").agg(F.max("month").alias("month"), F.max_by("original", "month").alias("value"), F.max_by("before", "month").alias("year_before"), F.max(F.when(F.col("adjusted").isNotNull(), F.col("month"))).alias("last_adjusted"))
 
 
-@query("with d as (select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day))::date as day), r as (select ts::date as day, count(*)::bigint as n, median(value) as mid from events where event_id % 40 = 0 group by 1) select d.day, coalesce(n, 0) as runs, n is null as missing, round(mid::decimal(28,9), 3)::double as mid from d left join r using (day)")
+@query("with d as (select unnest(generate_series(timestamp '2024-01-01', timestamp '2024-01-31', interval 1 day))::date as day), r as (select ts::date as day, count(*)::bigint as n, median(value) as mid from events group by 1) select d.day, coalesce(n, 0) as runs, n is null as missing, round(mid::decimal(28,9), 3)::double as mid from d left join r using (day)")
 def db_03_run_health(spark, sf):
     days = spark.range(1).select(F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-31").cast("date"), F.expr("interval 1 day"))).alias("day"))
-    r = table(spark, sf, "events").filter("event_id % 40 = 0").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"), F.median("value").alias("m"))
+    r = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"), F.median("value").alias("m"))
     return days.join(r, "day", "left").select("day", F.coalesce("n", F.lit(0)).alias("runs"), F.col("n").isNull().alias("missing"), r3("m").alias("mid"))
 
 
