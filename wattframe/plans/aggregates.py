@@ -290,20 +290,25 @@ def agg_33_seasonal_difference(spark, sf):
     return monthly(spark, sf).select("market", "month", r3(F.ln("value") - F.ln(F.lag("value", 12).over(w)), 6).alias("d12"))
 
 
-@query()
+@query(
+    with_("monthly")
+    + f""", n as (select market, month, ln(value) as y, (row_number() over (partition by market order by month))::double as t from monthly),
+d as (select market, month, y - avg(y) over w as y, t - avg(t) over w as t from n window w as (partition by market, month(month))),
+b as (select market, coalesce(sum(t * y) / nullif(sum(t * t), 0), 0) as slope from d group by 1)
+select market, month, {q('y - slope * t', 6)} as residual from d join b using (market)"""
+)
 def agg_33b_trend_and_month_residual(spark, sf):
-    """Residuals of ln(value) on a trend and month dummies; a market's months are a small group."""
-    import numpy as np
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month").reset_index(drop=True)
-        months = pd.to_datetime(pdf.month).dt.month.to_numpy()
-        x = np.c_[np.ones(len(pdf)), np.arange(len(pdf)), *[(months == m).astype(float) for m in range(2, 13)]]
-        y = np.log(pdf.value.to_numpy())
-        return pdf[["market", "month"]].assign(residual=y - x @ np.linalg.lstsq(x, y, rcond=None)[0])
-
-    return monthly(spark, sf).groupBy("market").applyInPandas(run, "market string, month date, residual double")
+    """Residuals of ln(value) on a trend and month dummies by least squares.
+
+    Taking each calendar month's mean from value and trend leaves the same residuals as fitting the dummies, so two windows
+    and a sum for each market do.
+    """
+    by_month = Window.partitionBy("market", F.month("month"))
+    n = monthly(spark, sf).select("market", "month", F.ln("value").alias("y"), F.row_number().over(Window.partitionBy("market").orderBy("month")).cast("double").alias("t"))
+    d = n.select("market", "month", (F.col("y") - F.avg("y").over(by_month)).alias("y"), (F.col("t") - F.avg("t").over(by_month)).alias("t"))
+    tt = F.sum(F.col("t") * F.col("t"))
+    slope = d.groupBy("market").agg(F.when(tt > 0, F.sum(F.col("t") * F.col("y")) / tt).otherwise(F.lit(0.0)).alias("slope"))
+    return d.join(slope, "market").select("market", "month", r3(F.col("y") - F.col("slope") * F.col("t"), 6).alias("residual"))
 
 
 @query(f"""with y as (select year(o_orderdate)::int as y, sum(o_totalprice::decimal(18,2) * 0.05::decimal(3,2))::double as s, sum(o_totalprice::decimal(18,2))::double as c from orders group by 1), f as (select 'y' || y as slice, * from y union all select 'all', * from y union all select 'without_first', * from y where y > 1995)

@@ -236,7 +236,7 @@ def db_12_run_comparison(spark, sf):
     return a.select("task", r3("x").alias("before"), r3("y").alias("after"), r3(C.percent_change("y", "x"), 4).alias("change"))
 
 
-@query()
+@query("select event_id, ('run ' || event_id || ' of ' || event_type || ' failed with value ' || printf('%.2f', value))[1:160] as message from events where value >= 99")
 def db_13_failure_messages(spark, sf):
     """What a callback would post for failed runs: cut to 160 characters. Nothing is sent from here."""
     e = table(spark, sf, "events").filter("value >= 99")

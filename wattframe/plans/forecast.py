@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -258,11 +260,12 @@ def fc_24_imported_errors(spark, sf):
     return tag(e.filter("year(origin) < 1998"), "history-1", "imported").unionByName(tag(e.filter("year(origin) >= 1998"), "v1", "own"))
 
 
-@query()
+def _parameters(name: str) -> str:
+    return json.dumps({"name": name, "months": 72, "horizons": 12, "penalty": 1.0 if name == "ridge" else None}, sort_keys=True)
+
+
+@query("select model, parameters, sha256(parameters)[1:12] as version from (values " + ", ".join(f"('{n}', '{_parameters(n)}')" for n in MODELS) + ") t(model, parameters)")
 def fc_25_model_registry(spark, sf):
     """Parameters of each model and their hash; a change of a parameter is a new version."""
-    import hashlib
-    import json
-
-    rows = [(name, json.dumps({"name": name, "months": 72, "horizons": 12, "penalty": 1.0 if name == "ridge" else None}, sort_keys=True)) for name in MODELS]
-    return spark.createDataFrame([(n, p, hashlib.sha256(p.encode()).hexdigest()[:12]) for n, p in rows], "model string, parameters string, version string")
+    rows = spark.createDataFrame([(n, _parameters(n)) for n in MODELS], "model string, parameters string")
+    return rows.withColumn("version", F.substring(F.sha2("parameters", 256), 1, 12))

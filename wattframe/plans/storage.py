@@ -7,6 +7,7 @@ import urllib.error
 import zipfile
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from wattframe.functions import columns as C
@@ -37,14 +38,28 @@ def src_01_delimited_text(spark, sf):
 
 @query("select * from (values ('Preço (R$/MWh)', 'preco_r_mwh'), ('2º Período', 'c_2o_periodo'), ('  DATA  ', 'data')) t(raw, name)")
 def src_02_header_names(spark, sf):
-    raw = ["Preço (R$/MWh)", "2º Período", "  DATA  "]
-    return spark.createDataFrame(list(zip(raw, text.header_names(raw), strict=True)), "raw string, name string")
+    """Names as they stand in a file's first line."""
+    path, raw = scratch(spark, "headers"), ["Preço (R$/MWh)", "2º Período", "  DATA  "]
+    rows = table(spark, sf, "nation").select(F.col("n_nationkey").alias(raw[0]), F.col("n_regionkey").alias(raw[1]), F.col("n_name").alias(raw[2]))
+    rows.write.option("sep", ";").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    found = spark.read.option("sep", ";").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path).columns
+    return spark.createDataFrame(list(zip(found, text.header_names(found), strict=True)), "raw string, name string")
 
 
-@query("select * from (values ('region', 'CO'), ('station', 'A001')) t(field, value)")
+@query("select 'N' || n_nationkey as station, n_name as region from nation")
 def src_03_preamble(spark, sf):
-    meta = text.preamble(["REGION:;CO", "STATION:;A001"], 2)
-    return spark.createDataFrame(sorted(meta.items()), "field string, value string")
+    """Two lines of metadata before the rows of each file: a file for each nation, read back whole and by Spark."""
+    path = scratch(spark, "preambles")
+    lines = F.array_join(F.array(F.concat(F.lit("REGION:;"), "n_name"), F.concat(F.lit("STATION:;N"), F.col("n_nationkey").cast("string")), F.lit("DAY;VALUE"), F.lit("2020-01-01;1,5")), "\n")
+    table(spark, sf, "nation").select(lines.alias("value"), F.col("n_nationkey").alias("file")).repartition("file").write.partitionBy("file").text(path)
+    read = spark.read.text(path, wholetext=True).select("value")
+
+    def parsed(batches):
+        for pdf in batches:
+            metas = [text.preamble(v.split("\n"), 2) for v in pdf["value"]]
+            yield pd.DataFrame({"station": [m["station"] for m in metas], "region": [m["region"] for m in metas]})
+
+    return read.mapInPandas(parsed, "station string, region string")
 
 
 @query("select n_nationkey::varchar as station, n_name as name, (n_nationkey * 1.5)::double as t from nation")
@@ -246,10 +261,21 @@ def snk_09_json_log(spark, sf):
     return spark.read.schema("run bigint, state string").json(path)
 
 
-@query("select * from (values ('a', 'new'), ('b', 'same'), ('c', 'changed')) t(file, action)")
+@query("select 'region=' || r_regionkey as file, case when r_regionkey = 0 then 'new' when r_regionkey = 1 then 'changed' else 'same' end as action from region")
 def snk_10_content_sync(spark, sf):
-    old, new = {"b": b"1", "c": b"1"}, {"a": b"1", "b": b"1", "c": b"2"}
-    return spark.createDataFrame([(n, sinks.sync_bytes(old.get(n), v)) for n, v in sorted(new.items())], "file string, action string")
+    """Two folders of files, held against each other by name and content digest: one file is new, one changed."""
+    r = table(spark, sf, "region").select("r_regionkey", "r_name")
+
+    def files(rows, name):
+        path = scratch(spark, name)
+        rows.select(F.col("r_name").alias("value"), F.col("r_regionkey").alias("region")).repartition("region").write.partitionBy("region").text(path)
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
+        return found.select(F.regexp_extract("path", r"(region=[^/]+)/[^/]*$", 1).alias("file"), F.md5("content").alias("digest"))
+
+    old = files(r.filter("r_regionkey <> 0"), "old")
+    new = files(r.withColumn("r_name", F.when(F.col("r_regionkey") == 1, F.concat("r_name", F.lit("!"))).otherwise(F.col("r_name"))), "new")
+    met = new.join(old.withColumnRenamed("digest", "before"), "file", "left")
+    return met.select("file", F.when(F.col("before").isNull(), "new").when(F.col("before") == F.col("digest"), "same").otherwise("changed").alias("action"))
 
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
@@ -312,7 +338,7 @@ def inc_01_usual_window(spark, sf):
     return spark.createDataFrame(rows, "reference date, first string, last string, partitions int")
 
 
-@query()
+@query("select (date '2017-01-01' + k * interval 1 month)::date as first, size::int as size, true as reads_enough, true as replaces_enough from (select unnest(range(24)) as k) cross join (select unnest(range(1, 4)) as size)")
 def inc_02_window_rules(spark, sf):
     """Every window of two years: read months cover the replaced partitions, partitions cover the reloaded months."""
     rows = []
@@ -365,10 +391,29 @@ def inc_06_revision_classes(spark, sf):
     return versions(spark, sf).groupBy("change").agg(F.count("*").alias("n"))
 
 
-@query("select * from (values ('b'), ('c')) t(file)")
+@query("select 'part-' || r_regionkey as file from region where r_regionkey in (0, 1)")
 def inc_07_new_files(spark, sf):
-    found = incremental.new_files({"a": (1, 1), "b": (1, 1)}, {"a": (1, 1), "b": (2, 1), "c": (1, 1)})
-    return spark.createDataFrame([(f,) for f in found], "file string")
+    """A landing folder whose state (size, time) was taken before one file came and one grew."""
+    path = scratch(spark, "landing")
+    fs, folder = sinks._fs(spark, path)
+    regions = [(r.r_regionkey, r.r_name) for r in table(spark, sf, "region").select("r_regionkey", "r_name").collect()]  # five rows
+
+    def put(k, content):
+        out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/part-{k}"), True)
+        out.write(bytearray(content.encode()))
+        out.close()
+
+    def state():
+        return {x.getPath().getName(): (x.getLen(), x.getModificationTime()) for x in fs.listStatus(folder)}
+
+    for k, name in regions:
+        if k:
+            put(k, name)
+    before = state()
+    for k, name in regions:
+        if k < 2:
+            put(k, f"{name} and more")
+    return spark.createDataFrame([(f,) for f in incremental.new_files(before, state())], "file string")
 
 
 @query("select * from (values (1, 'raw_load'), (2, 'stg_load'), (3, 'fact_load'), (4, 'fact_monthly')) t(place, name)")
