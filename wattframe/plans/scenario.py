@@ -152,12 +152,14 @@ SIMPLE_SQL = f"{HISTORY_SQL}, simple as (select o.origin, s::int as scenario, h:
 BLOCK_SQL = f"{HISTORY_SQL}, starts as (select o.origin, s.month, s.mi, row_number() over (partition by o.origin order by s.month) - 1 as i, count(*) over (partition by o.origin) as n from origins o join spot s on month(s.month) = 1 and (s.month + interval 11 month)::date <= o.origin where (select count(*) from spot t where t.mi between s.mi and s.mi + 11) = 12), blocks as (select o.origin, s::int as scenario, h::int as horizon, k.month, {MOVE} as price from (select distinct origin, n from starts) o cross join (select unnest(range(0, {N})) as s) join starts st on st.origin = o.origin and st.i = {DRAW.format(f'''concat('{SEED}:block:', o.origin, ':', s)''', 'o.n')} cross join (select unnest(range(1, 13)) as h) join spot k on k.mi = st.mi + h - 1 join bounds a on a.year = year(k.month) join bounds b on b.year = year(o.origin) + 1)"
 
 
-def _moved(drawn: DataFrame, spark) -> DataFrame:
+def _moved(drawn: DataFrame, spark, shift: bool = True) -> DataFrame:
+    """Drawn prices in the target year's terms: moved with the floor and clipped, or only clipped."""
     b = bounds(spark)
     then = b.select(F.col("year").alias("y0"), F.col("floor").alias("f0"))
     now = b.select(F.col("year").alias("y1"), F.col("floor").alias("f1"), F.col("cap").alias("c1"))
     met = drawn.withColumns({"y0": F.year("month"), "y1": F.year("origin") + 1}).join(F.broadcast(then), "y0").join(F.broadcast(now), "y1")
-    return met.select("origin", "scenario", "horizon", "month", r3(shifted(F.col("price"), F.col("f0"), F.col("f1"), F.col("c1"))).alias("price"))
+    price = shifted(F.col("price"), F.col("f0"), F.col("f1"), F.col("c1")) if shift else C.clip(F.col("price"), F.col("f1"), F.col("c1"))
+    return met.select("origin", "scenario", "horizon", "month", r3(price).alias("price"))
 
 
 def simple_bootstrap(spark, sf, n: int = N) -> DataFrame:
@@ -170,7 +172,7 @@ def simple_bootstrap(spark, sf, n: int = N) -> DataFrame:
     return _moved(drawn, spark)
 
 
-def block_bootstrap(spark, sf, n: int = N) -> DataFrame:
+def block_bootstrap(spark, sf, n: int = N, shift: bool = True) -> DataFrame:
     """Whole calendar years drawn from those complete at the origin."""
     blocks = R.contiguous_blocks(spot(spark, sf), "month", "price").filter("month(block) = 1")
     met = decision_origins(series(spark, sf)).join(blocks, F.add_months("block", 11) <= F.col("origin"))
@@ -179,7 +181,7 @@ def block_bootstrap(spark, sf, n: int = N) -> DataFrame:
     key = F.concat(F.lit(f"{SEED}:block:"), F.col("origin").cast("string"), F.lit(":"), F.col("scenario").cast("string"))
     drawn = grid.withColumn("i", C.drawn_index(key, F.col("n"))).drop("n").join(numbered.select("origin", "i", "block", "values"), ["origin", "i"])
     long = drawn.select("origin", "scenario", "block", F.posexplode("values").alias("h", "price"))
-    return _moved(long.select("origin", "scenario", (F.col("h") + 1).alias("horizon"), F.add_months("block", F.col("h")).alias("month"), "price"), spark)
+    return _moved(long.select("origin", "scenario", (F.col("h") + 1).alias("horizon"), F.add_months("block", F.col("h")).alias("month"), "price"), spark, shift)
 
 
 @query(with_("series") + f", {SIMPLE_SQL} select * from simple")
@@ -255,10 +257,17 @@ COST = "least(greatest(use, {v} * hours * (1 - {f})), {v} * hours * (1 + {f})) *
 EVAL_SQL = f"{BASE_SQL}, {GRID_SQL}, cost as (select origin, r, scenario, sum({COST.format(v='(r * volume)', f=f'{BAND}::double')}) as cost from paired join point using (origin) join priced using (origin) cross join grid group by 1, 2, 3), ranked as (select *, row_number() over (partition by origin, r order by cost desc) as k, count(*) over (partition by origin, r) as n from cost), evaluated as (select origin, r, avg(cost) as expected, sum(least(1.0::double, greatest(0.0::double, (1.0::double - {ALPHA}::double) * n - (k - 1))) * cost) / sum(least(1.0::double, greatest(0.0::double, (1.0::double - {ALPHA}::double) * n - (k - 1)))) as cvar from ranked group by 1, 2), objective as (select *, expected + {WEIGHT} * cvar as objective from evaluated), chosen as (select origin, min_by(r, (abs(r - 1), r)) as r from objective join (select origin, min(objective) as low from objective group by 1) using (origin) where objective <= low + 1e-9 * greatest(1.0, abs(low)) group by 1)"
 
 
-def paired(spark, sf) -> DataFrame:
+def paired(spark, sf, dispersion: float = 1.0, method: str = "block", shift: bool = True) -> DataFrame:
+    """Consumption and price of each scenario; the draws are the same whatever the dispersion of the errors."""
     s = series(spark, sf)
-    use = use_scenarios(s, draw(known_vectors(s)))
-    price = block_bootstrap(spark, sf).select("origin", "scenario", "horizon", F.col("price").alias("spot"))
+    known = known_vectors(s)
+    drawn = draw(known)
+    if dispersion != 1.0:
+        wide = stretch(known, dispersion).groupBy("origin", "vector").agg(F.array_sort(F.collect_list(F.struct("horizon", "e"))).alias("hs"))  # twelve to a group
+        drawn = drawn.drop("v").join(wide.select("origin", "vector", F.transform("hs", lambda x: x["e"]).alias("v")), ["origin", "vector"])
+    use = use_scenarios(s, drawn)
+    drawn_prices = simple_bootstrap(spark, sf) if method == "simple" else block_bootstrap(spark, sf, shift=shift)
+    price = drawn_prices.select("origin", "scenario", "horizon", F.col("price").alias("spot"))
     return use.join(price, ["origin", "scenario", "horizon"]).select("origin", "scenario", "horizon", "use", "spot", C.hours_in_month("target").cast("double").alias("hours"))
 
 
@@ -432,10 +441,11 @@ def ct_15_trailing_use(spark, sf):
 
 @query()
 def ct_16_sensitivity_batch(spark, sf):
-    """Every variant of a decision parameter; those of the scenarios have their own sets (sc_14).
+    """The chosen ratio of every variant of the registry at every origin.
 
     Bands, spreads and limits of all variants are candidates of one evaluation, weights are applied to its result, and
-    only another alpha needs a second pass over the scenarios.
+    only another alpha needs a second pass over the scenarios. Variants of the scenarios (price method, dispersion,
+    transform) are sets of their own, keyed by variant, in one evaluation of the base candidates.
     """
     base = {"id": "base", "band": BAND, "spread": SPREAD, "r_max": None, "weight": WEIGHT, "alpha": ALPHA}
     rows = [base | {"id": name, parameter: value} for name, parameter, value in SENSITIVITIES if parameter in base]
@@ -452,7 +462,16 @@ def ct_16_sensitivity_batch(spark, sf):
         e = K.evaluate(scenarios, c, ["origin"], 0.0, alpha, more=["id"]).join(table_.select("id", "weight"), "id").withColumn("objective", F.col("expected") + F.col("weight") * F.col("cvar"))
         best = K.choose(e, ["id", "origin"]).select("id", "origin", "r", "objective")
         out = best if out is None else out.unionByName(best)
-    return out
+    sets = None
+    for name, parameter, value in SENSITIVITIES:
+        if parameter in base:
+            continue
+        change = {"method": {"method": "simple"}, "dispersion": {"dispersion": value}, "transform": {"shift": False}}[parameter]
+        one = paired(spark, sf, **change).withColumn("id", F.lit(name))
+        sets = one if sets is None else sets.unionByName(one)
+    ids = sets.select("id").distinct()
+    e = K.evaluate(sets, candidates(spark, sf).crossJoin(ids), ["id", "origin"], WEIGHT, ALPHA)  # a handful of variants
+    return out.unionByName(K.choose(e, ["id", "origin"]).select("id", "origin", "r", "objective"))
 
 
 @query("select distinct event_type as id, (props->>'$.k')::bigint as k, sha256(event_type || '|' || (props->>'$.k'))[1:12] as registration from events")
