@@ -98,7 +98,7 @@ def training_windows(s: DataFrame, months: int = 72) -> DataFrame:
 def _by_origin(s: DataFrame, model) -> DataFrame:
     """Runs predict(values, last month number) -> 12 forecasts on each origin's window: 72 rows to a group."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("mi")
         forecast = model(pdf.value.to_numpy(), int(pdf.mi.iloc[-1]))
         return pd.DataFrame({"origin": key[0], "horizon": np.arange(1, 13), "forecast": forecast})
@@ -174,8 +174,9 @@ ERRORS_SQL = f"{PAIRS_SQL}, errors as (select origin, horizon, target, p, a, {q(
 CALIBRATION_SQL = f"{ERRORS_SQL}, calibration as (select o.month as origin, e.horizon, count(*)::bigint as n, " + ", ".join(f"{q(f'quantile_cont(e.e, {x})', 6)} as q{str(x)[2:]}" for x in LEVELS) + " from (select month from series where month(month) = 12) o join errors e on e.target <= o.month group by 1, 2 having count(*) >= 30)"
 
 
-def errors(s: DataFrame) -> DataFrame:
-    return naive_pairs(s).withColumn("e", r3(F.ln(F.col("a") / F.col("p")), 6))
+def errors(s: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """e: log(actual / predicted) of the given pairs, of the seasonal naive where none are given."""
+    return (naive_pairs(s) if pairs is None else pairs).withColumn("e", r3(F.ln(F.col("a") / F.col("p")), 6))
 
 
 def calibration(s: DataFrame, least: int = 30) -> DataFrame:

@@ -31,22 +31,25 @@ DRAWS_SQL = f"{KNOWN_SQL}, draws as (select k.origin, s::int as scenario, k.vect
 USE_SQL = f"{DRAWS_SQL}, use as (select d.origin, d.scenario, p.horizon, p.target, {q(f'{SCALE} * p.p * exp(d.v[p.horizon]) * {HOURS.format('p.target')}')} as use, {HOURS.format('p.target')} as hours from draws d join pairs p on p.origin = d.origin)"
 
 
-def vectors(s: DataFrame) -> DataFrame:
+# Wherever pairs (origin, horizon, target, p, a) can be given, they are the forecasts to use instead of the seasonal naive ones.
+
+
+def vectors(s: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """vector (its origin), v: the 12 errors of each complete origin."""
-    e = errors(s)
+    e = errors(s, pairs)
     whole = e.groupBy(F.col("origin").alias("vector")).agg(F.count("*").alias("n"), F.count_distinct("horizon").alias("k"), F.array_sort(F.collect_list(F.struct("horizon", "e"))).alias("hs"))
     return whole.filter("n = 12 and k = 12").select("vector", F.transform("hs", lambda x: x["e"]).alias("v"))
 
 
-def decision_origins(s: DataFrame) -> DataFrame:
+def decision_origins(s: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Decembers whose next 12 months are known."""
-    p = naive_pairs(s).filter("month(origin) = 12 and year(origin) >= 1997")
+    p = (naive_pairs(s) if pairs is None else pairs).filter("month(origin) = 12 and year(origin) >= 1997")
     return p.groupBy("origin").agg(F.count("*").alias("n")).filter("n = 12").select("origin")
 
 
-def known_vectors(s: DataFrame) -> DataFrame:
+def known_vectors(s: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """origin, vector, v, i, n: the vectors that are complete at each origin, numbered by age."""
-    met = decision_origins(s).join(vectors(s), F.add_months("vector", 12) <= F.col("origin"))
+    met = decision_origins(s, pairs).join(vectors(s, pairs), F.add_months("vector", 12) <= F.col("origin"))
     return met.withColumn("i", F.row_number().over(Window.partitionBy("origin").orderBy("vector")) - 1).withColumn("n", F.count("*").over(Window.partitionBy("origin")))
 
 
@@ -57,9 +60,9 @@ def draw(known: DataFrame, n: int = N, seed: int = SEED) -> DataFrame:
     return sizes.withColumn("i", C.drawn_index(key, F.col("n"))).select("origin", "scenario", "i").join(known.select("origin", "i", "vector", "v"), ["origin", "i"]).select("origin", "scenario", "vector", "v")
 
 
-def use_scenarios(s: DataFrame, drawn: DataFrame) -> DataFrame:
+def use_scenarios(s: DataFrame, drawn: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """origin, scenario, horizon, target, use: forecast times exp(error) times hours."""
-    p = naive_pairs(s).select("origin", "horizon", "target", "p")
+    p = (naive_pairs(s) if pairs is None else pairs).select("origin", "horizon", "target", "p")
     use = SCALE * F.col("p") * F.exp(F.element_at("v", F.col("horizon"))) * C.hours_in_month("target")
     return drawn.join(p, "origin").select("origin", "scenario", "horizon", "target", r3(use).alias("use"))
 
@@ -257,23 +260,23 @@ COST = "least(greatest(use, {v} * hours * (1 - {f})), {v} * hours * (1 + {f})) *
 EVAL_SQL = f"{BASE_SQL}, {GRID_SQL}, cost as (select origin, r, scenario, sum({COST.format(v='(r * volume)', f=f'{BAND}::double')}) as cost from paired join point using (origin) join priced using (origin) cross join grid group by 1, 2, 3), ranked as (select *, row_number() over (partition by origin, r order by cost desc) as k, count(*) over (partition by origin, r) as n from cost), evaluated as (select origin, r, avg(cost) as expected, sum(least(1.0::double, greatest(0.0::double, (1.0::double - {ALPHA}::double) * n - (k - 1))) * cost) / sum(least(1.0::double, greatest(0.0::double, (1.0::double - {ALPHA}::double) * n - (k - 1)))) as cvar from ranked group by 1, 2), objective as (select *, expected + {WEIGHT} * cvar as objective from evaluated), chosen as (select origin, min_by(r, (abs(r - 1), r)) as r from objective join (select origin, min(objective) as low from objective group by 1) using (origin) where objective <= low + 1e-9 * greatest(1.0, abs(low)) group by 1)"
 
 
-def paired(spark, sf, dispersion: float = 1.0, method: str = "block", shift: bool = True) -> DataFrame:
+def paired(spark, sf, dispersion: float = 1.0, method: str = "block", shift: bool = True, pairs: DataFrame | None = None) -> DataFrame:
     """Consumption and price of each scenario; the draws are the same whatever the dispersion of the errors."""
     s = series(spark, sf)
-    known = known_vectors(s)
+    known = known_vectors(s, pairs)
     drawn = draw(known)
     if dispersion != 1.0:
         wide = stretch(known, dispersion).groupBy("origin", "vector").agg(F.array_sort(F.collect_list(F.struct("horizon", "e"))).alias("hs"))  # twelve to a group
         drawn = drawn.drop("v").join(wide.select("origin", "vector", F.transform("hs", lambda x: x["e"]).alias("v")), ["origin", "vector"])
-    use = use_scenarios(s, drawn)
+    use = use_scenarios(s, drawn, pairs)
     drawn_prices = simple_bootstrap(spark, sf) if method == "simple" else block_bootstrap(spark, sf, shift=shift)
     price = drawn_prices.select("origin", "scenario", "horizon", F.col("price").alias("spot"))
     return use.join(price, ["origin", "scenario", "horizon"]).select("origin", "scenario", "horizon", "use", "spot", C.hours_in_month("target").cast("double").alias("hours"))
 
 
-def point_volume(s: DataFrame) -> DataFrame:
+def point_volume(s: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     hours = C.hours_in_month("target")
-    return naive_pairs(s).join(decision_origins(s), "origin").groupBy("origin").agg(r3(F.sum(SCALE * F.col("p") * hours) / F.sum(hours), 6).alias("volume"))
+    return (naive_pairs(s) if pairs is None else pairs).join(decision_origins(s, pairs), "origin").groupBy("origin").agg(r3(F.sum(SCALE * F.col("p") * hours) / F.sum(hours), 6).alias("volume"))
 
 
 def contract_price(spark, sf, spread: float = SPREAD) -> DataFrame:
@@ -283,9 +286,9 @@ def contract_price(spark, sf, spread: float = SPREAD) -> DataFrame:
     return decision_origins(series(spark, sf)).withColumn("y", F.year("origin")).join(y, "y").select("origin", "price")
 
 
-def candidates(spark, sf, band: float = BAND, spread: float = SPREAD, r_max: float | None = None) -> DataFrame:
+def candidates(spark, sf, band: float = BAND, spread: float = SPREAD, r_max: float | None = None, pairs: DataFrame | None = None) -> DataFrame:
     bands = spark.createDataFrame([(band, r_max)], "band double, r_max double")
-    base = point_volume(series(spark, sf)).join(contract_price(spark, sf, spread), "origin")
+    base = point_volume(series(spark, sf), pairs).join(contract_price(spark, sf, spread), "origin")
     return base.crossJoin(K.ratio_grid(bands)).select("origin", "r", (F.col("r") * F.col("volume")).alias("volume"), "band", "price")
 
 
@@ -327,21 +330,21 @@ def ct_06_decision(spark, sf):
     return best.select("origin", "r", r3(F.col("volume"), 6).alias("volume"), "price", r3("objective", 2).alias("objective"))
 
 
-def decision(spark, sf, band: float = BAND, spread: float = SPREAD, weight: float = WEIGHT, alpha: float = ALPHA, r_max: float | None = None) -> DataFrame:
-    c = candidates(spark, sf, band, spread, r_max)
-    best = K.choose(K.evaluate(paired(spark, sf), c, ["origin"], weight, alpha), ["origin"])
+def decision(spark, sf, band: float = BAND, spread: float = SPREAD, weight: float = WEIGHT, alpha: float = ALPHA, r_max: float | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    c = candidates(spark, sf, band, spread, r_max, pairs)
+    best = K.choose(K.evaluate(paired(spark, sf, pairs=pairs), c, ["origin"], weight, alpha), ["origin"])
     return best.join(c.select("origin", "r", "volume", "price"), ["origin", "r"])
 
 
 STRATEGIES_SQL = f"{EVAL_SQL}, strategies as (select 'naive' as strategy, o.origin, {q(f'sum({SCALE} * s.value * {HOURS.format('s.month')}) / sum({HOURS.format('s.month')})', 6)} as volume from origins o join series s on year(s.month) = year(o.origin) group by 2 having count(*) = 12 union all select 'point', origin, volume from point union all select 'optimised', origin, {q('r * volume', 6)} from chosen join point using (origin))"
 
 
-def strategies(spark, sf) -> DataFrame:
+def strategies(spark, sf, pairs: DataFrame | None = None) -> DataFrame:
     s = series(spark, sf)
     hours = C.hours_in_month("month")
     y = s.groupBy(F.year("month").alias("y")).agg(F.count("*").alias("n"), r3(F.sum(SCALE * F.col("value") * hours) / F.sum(hours), 6).alias("volume")).filter("n = 12")
-    naive = decision_origins(s).withColumn("y", F.year("origin")).join(y, "y").select(F.lit("naive").alias("strategy"), "origin", "volume")
-    return naive.unionByName(point_volume(s).withColumn("strategy", F.lit("point"))).unionByName(decision(spark, sf).select(F.lit("optimised").alias("strategy"), "origin", r3("volume", 6).alias("volume")))
+    naive = decision_origins(s, pairs).withColumn("y", F.year("origin")).join(y, "y").select(F.lit("naive").alias("strategy"), "origin", "volume")
+    return naive.unionByName(point_volume(s, pairs).withColumn("strategy", F.lit("point"))).unionByName(decision(spark, sf, pairs=pairs).select(F.lit("optimised").alias("strategy"), "origin", r3("volume", 6).alias("volume")))
 
 
 @query(with_("series") + f", {STRATEGIES_SQL} select * from strategies")
@@ -352,13 +355,13 @@ def ct_07_strategies(spark, sf):
 REAL_SQL = f"{STRATEGIES_SQL}, real as (select o.origin, s.month, {SCALE} * s.value * {HOURS.format('s.month')} as use, t.price as spot, {HOURS.format('s.month')} as hours from origins o join series s on year(s.month) = year(o.origin) + 1 join spot t on t.month = s.month), realised as (select strategy, origin, month, {COST.format(v='volume', f=f'{BAND}::double')} as cost, use > volume * hours * (1 + {BAND}) or use < volume * hours * (1 - {BAND}) as outside from real join strategies using (origin) join priced using (origin)), annual as (select strategy, origin, {q('sum(cost)', 2)} as cost, count_if(outside)::bigint as months_outside, count(*)::bigint as months from realised group by 1, 2)"
 
 
-def annual(spark, sf, band: float = BAND) -> DataFrame:
+def annual(spark, sf, band: float = BAND, pairs: DataFrame | None = None) -> DataFrame:
     """Realised cost of each strategy in the year after its origin."""
     s = series(spark, sf)
     real = s.join(spot(spark, sf).select("month", F.col("price").alias("spot")), "month").withColumn("y", F.year("month") - 1)
-    real = decision_origins(s).withColumn("y", F.year("origin")).join(real, "y")
+    real = decision_origins(s, pairs).withColumn("y", F.year("origin")).join(real, "y")
     hours = C.hours_in_month("month").cast("double")
-    met = real.withColumns({"hours": hours, "use": SCALE * F.col("value") * hours}).join(strategies(spark, sf), "origin").join(contract_price(spark, sf), "origin")
+    met = real.withColumns({"hours": hours, "use": SCALE * F.col("value") * hours}).join(strategies(spark, sf, pairs), "origin").join(contract_price(spark, sf), "origin")
     c = met.withColumn("c", K.monthly_cost(F.col("use"), F.col("volume"), F.col("hours"), F.lit(band), F.col("price"), F.col("spot")))
     outside = (F.col("c.short") > 0) | (F.col("c.surplus") > 0)
     return c.groupBy("strategy", "origin").agg(r3(F.sum("c.cost"), 2).alias("cost"), F.count_if(outside).alias("months_outside"), F.count("*").alias("months"))

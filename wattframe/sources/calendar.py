@@ -27,11 +27,11 @@ CARNIVAL, CORPUS_CHRISTI = -45, 62
 UNREGULATED = "Black Awareness"
 
 
-def holidays(spark: SparkSession, first: int = 2000, last: int = 2030) -> DataFrame:
-    """day, name: one row per date; names of one date are joined by '; '."""
+def holidays(spark: SparkSession, first: int = 2000, last: int = 2030, since: int = 2000) -> DataFrame:
+    """day, name: one row per date; names of one date are joined by '; '. What the lists have from 2000 on counts from `since` on."""
     years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("y"))
     fixed = spark.createDataFrame(FIXED_HOLIDAYS, "m int, d int, name string, since int")
-    days = years.crossJoin(fixed).filter("y >= since").select(F.make_date("y", "m", "d").alias("day"), "name")
+    days = years.crossJoin(fixed).filter(F.col("y") >= F.when(F.col("since") == 2000, F.least(F.col("since"), F.lit(since))).otherwise(F.col("since"))).select(F.make_date("y", "m", "d").alias("day"), "name")
     friday = years.select(F.date_sub(C.easter("y"), 2).alias("day"), F.lit(GOOD_FRIDAY).alias("name"))
     return days.union(friday).groupBy("day").agg(F.array_join(F.array_sort(F.collect_list("name")), "; ").alias("name"))
 
@@ -42,6 +42,14 @@ def regulated_holidays(named: DataFrame) -> DataFrame:
     return named.filter(~F.col("name").contains(UNREGULATED)).select("day").union(friday.select(F.date_add("day", CARNIVAL))).union(friday.select(F.date_add("day", CORPUS_CHRISTI))).distinct()
 
 
+def business_days(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """mi (month index), business: Mondays to Fridays that no calendar lists; dates of years before the lists' start count as listed later."""
+    named = holidays(spark, int(first[:4]), int(last[:4]), since=int(first[:4]))
+    off = named.select("day").union(regulated_holidays(named)).distinct()
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.last_day(F.lit(last).cast("date")))).alias("day"))
+    return days.join(off, "day", "left_anti").groupBy(C.month_index("day").alias("mi")).agg(F.count_if(C.iso_weekday("day") < 6).alias("business"))
+
+
 def hours(spark: SparkSession, first: str = "2000-01-01 00:00:00", last: str = "2030-12-31 23:00:00") -> DataFrame:
     """utc: every hour, both ends included; made in as many tasks as Spark gives a range."""
     a, b = datetime.fromisoformat(first), datetime.fromisoformat(last)
