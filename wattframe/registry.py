@@ -24,7 +24,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 #: Modules that register queries on import.
-MODULES = ["scalars", "joins", "windows", "aggregates", "domain", "forecast", "scenario", "exploration", "quality", "storage", "assertions"]
+MODULES = ["scalars", "joins", "windows", "aggregates", "domain", "forecast", "scenario", "fitted", "sensitivity", "exploration", "quality", "storage", "assertions"]
 
 
 def _load() -> None:
