@@ -329,13 +329,25 @@ def snk_16_full_load(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("n"), F.count_distinct("year").alias("years"))
 
 
-@query("select * from (values (date '2024-05-01', '2024-03-01', '2024-05-01', 4), (date '2024-01-15', '2023-11-01', '2024-01-01', 4)) t(reference, first, last, partitions)")
+ORDER_MONTHS_SQL = "m as (select date_trunc('month', o_orderdate)::date as month, count(*)::bigint as n from orders where o_orderdate is not null group by 1)"
+
+
+def _order_months(spark, sf):
+    """Orders a month: one row for each month of the calendar that has any."""
+    return table(spark, sf, "orders").filter("o_orderdate is not null").groupBy(C.month_of("o_orderdate").alias("month")).agg(F.count("*").alias("n"))
+
+
+@query(f"""with {ORDER_MONTHS_SQL}
+select a.month as reference, (a.month - interval 2 month)::date as first, a.month as last, 4::int as partitions, sum(b.n)::bigint as n_rows
+from m a join m b on b.month between a.month - interval 2 month and a.month group by a.month""")
 def inc_01_usual_window(spark, sf):
-    rows = []
-    for ref in (date(2024, 5, 1), date(2024, 1, 15)):
-        w = incremental.usual_reload(ref, None)
-        rows.append((ref, w.first.isoformat(), w.last.isoformat(), len(w.partitions)))
-    return spark.createDataFrame(rows, "reference date, first string, last string, partitions int")
+    """The usual reload as of every month that has orders, and the rows it reloads."""
+    months = _order_months(spark, sf)
+    windows = [incremental.usual_reload(r.month, None) for r in months.select("month").collect()]  # a row a month of the calendar
+    rows = [(w.last, w.first, w.last, len(w.partitions), w.local_months) for w in windows]
+    usual = spark.createDataFrame(rows, "reference date, first date, last date, partitions int, months array<date>")
+    reloaded = usual.withColumn("month", F.explode("months")).join(months, "month")
+    return reloaded.groupBy("reference", "first", "last", "partitions").agg(F.sum("n").alias("n_rows"))
 
 
 @query("select (date '2017-01-01' + k * interval 1 month)::date as first, size::int as size, true as reads_enough, true as replaces_enough from (select unnest(range(24)) as k) cross join (select unnest(range(1, 4)) as size)")
@@ -366,15 +378,19 @@ def inc_03_backfill_equals_full(spark, sf):
     return spark.read.parquet(path).select("area", F.date_format("utc", "yyyy-MM-dd HH").alias("utc"), "load")
 
 
-@query("select 'raw months are missing' as refused")
+@query(f"with {ORDER_MONTHS_SQL} select month as missing, month > min(month) over () and month < max(month) over () as refused from m")
 def inc_04_window_validation(spark, sf):
-    w = incremental.Reload(date(2024, 1, 1), date(2024, 3, 1))
-    try:
-        w.check([date(2023, 12, 1), date(2024, 1, 1), date(2024, 4, 1)])
-        said = "nothing"
-    except ValueError as e:
-        said = str(e).split(":")[0]
-    return spark.createDataFrame([(said,)], "refused string")
+    """Whether the usual reload is refused if a month of the orders were missing: at the ends of the table none is."""
+    have = {r.month for r in _order_months(spark, sf).select("month").collect()}
+
+    def refused(month):
+        try:
+            incremental.usual_reload(month, None).check(have - {month})
+        except ValueError:
+            return True
+        return False
+
+    return spark.createDataFrame([(m, refused(m)) for m in sorted(have)], "missing date, refused boolean")
 
 
 @query("select true as outside, false as inside")
