@@ -47,3 +47,24 @@ def test_run_equals_its_stages(spark, corpus):
     out = corpus_pipeline.run(spark, path)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
     assert out.filter(F.col("doc_id") == 5).count() == 1
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_repeated_ids_clashing_names_and_empty_tables(spark, tmp_path, empty):
+    clean = [(i, ". ".join(prose(14, 9000 + 9 * i + k, 3000).capitalize() for k in range(8))) for i in range(60)]
+    junk = [(100 + i, " ".join(f"W{k}%%%" for k in range(i, i + 80))) for i in range(30)]
+    # 3 and 7 share a text through 50, whose own rows are unlike; 5 comes twice and is equal.
+    rows = [*clean, *junk, (50, clean[3][1]), (50, clean[7][1]), clean[5], (None, clean[9][1])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(1) for c in ("score", "id", "spans", "kept", "component", "n_words", "N_HIT", "ids")})
+    (docs.limit(0) if empty else docs).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in clean] + [(i, 0, 0) for i, _ in junk], "doc_id long, quality int, toxic int")
+    (labels.limit(0) if empty else labels).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = sorted((r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    if empty:
+        assert got == []
+        return
+    # 50 links 3 and 7, so that 3 alone stays of the three ids; both rows of 5 stay; the row without an id stays.
+    want = [i for i, _ in clean if i not in (7, 50)] + [5]
+    assert got == sorted([*((False, i) for i in want), (True, 0)])

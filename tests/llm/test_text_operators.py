@@ -277,6 +277,75 @@ def test_names_inside_an_article(inner, text):
     assert html_extract.extract_shard([page]) == ["\n".join(x for x in ("Start", text, "End") if x)]
 
 
+SHAPES = [
+    ("<article><p>Start.</p><p class='ad'>Buy now<p>The main text goes on.<p>And on.</article>", "Start.\nThe main text goes on.\nAnd on."),
+    ("<article><ul><li class=share>Share<li>Real item one<li>Real item two</ul><p>Rest</article>", "Real item one\nReal item two\nRest"),
+    ("<body><form action=x><div class=page><article><p>In a form</article></div></form>", "In a form"),
+    ("<nav><ul><li>menu<article><p>After an open menu</article><p>tail", "After an open menu"),
+    ("<article>a<table><tr><td class=ad>buy<td>b<tr><td>c</table>d</article>", "a\nb\nc\nd"),
+    ("<article>a<dl><dd class=promo>x<dd>y<dt>z</dl></div></section>b</article>", "a\ny\nz\nb"),
+    ("<article>a<div class=comments><form><p>Say</form><article>no</article></div>b</article>", "a\nb"),
+    ("<article>a<div class=sidebar><p>s</article><p>after", "a"),
+    ("<article><p>a<span class=ad>x</p>b</article>", "a\nb"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), SHAPES)
+def test_elements_end_by_the_rules_of_html(page, text):
+    assert html_extract.extract_shard([html_extract.blocks_of(page)]) == [text]
+
+
+def test_random_nestings_against_their_tree():
+    """Trees written with optional end tags left out are read as the trees that they are."""
+    rng = np.random.default_rng(44)
+    inside = {"article": ["p", "ul", "div", "table"], "div": ["p", "ul", "div"], "ul": ["li"], "li": ["p", "ul", "div"], "table": ["tr"], "tr": ["td"], "td": ["p", "ul"], "p": []}
+    words = iter(range(10**6))
+
+    def tree(name, depth):
+        chrome = name in ("p", "li", "td", "div") and rng.random() < 0.25
+        kids = []
+        for _ in range(int(rng.integers(1, 4))):
+            if name not in ("ul", "table", "tr"):
+                kids.append(f"w{next(words)}")
+            if depth and inside[name]:
+                kids.append(tree(str(rng.choice(inside[name])), depth - 1))
+        return name, chrome, kids
+
+    def write(node):
+        name, chrome, kids = node
+        out = f"<{name}{' class=ad' if chrome else ''}>"
+        for k, kid in enumerate(kids):
+            if isinstance(kid, str):
+                out += kid
+                continue
+            out += write(kid)
+            after = kids[k + 1] if k + 1 < len(kids) else None
+            # An end tag is optional before an element that implies it or at the parent's end.
+            free = kid[0] in ("p", "li", "td", "tr") and (after is None or (not isinstance(after, str) and (kid[0] == "p" or after[0] == kid[0])))
+            out += "" if free and rng.random() < 0.7 else f"</{kid[0]}>"
+        return out
+
+    def read(node, hidden, out):
+        name, chrome, kids = node
+        for kid in kids:
+            if isinstance(kid, str):
+                if not (hidden or chrome):
+                    out.append(kid)
+            else:
+                read(kid, hidden or chrome, out)
+        return out
+
+    for _ in range(300):
+        root = tree("article", 4)
+        page = f"<body><div>{write(root)}</article></div>"
+        assert html_extract.extract_shard([html_extract.blocks_of(page)])[0].split("\n") == (read(root, False, []) or [""]), page
+
+
+def test_deep_and_stray_tags_stay_linear():
+    page = "<div>" * 20_000 + "</section></td><td>" * 20_000 + "<article>x</article>"
+    assert html_extract.extract_shard([html_extract.blocks_of(page)]) == ["x"]
+
+
 def test_teasers_beside_an_article():
     """An article beside the longest one goes where its text repeats on another page, and stays where it is unique."""
     lead = " ".join(f"t{k}" for k in range(html_extract.REPEAT + 3))
@@ -500,6 +569,14 @@ def test_near_duplicates(spark, monkeypatch):
     assert not {"sketches", "members", "links", "labels", "sets", "open", "component"} & set(left), left
 
 
+def test_texts_of_one_id_share_their_links(spark):
+    a, b, c, d = (prose(60, 700 + k) for k in range(4))
+    rows = [(1, a), (2, b), (3, a), (3, b), (4, c), (5, c), (5, d), (6, d), (7, d), (7, prose(60, 710)), (8, a), (8, a)]
+    got = minhash.near_duplicates(docs(spark, rows)).collect()
+    want = components(rows)
+    assert [(r.doc_id, r.component_id, r.kept) for r in sorted(got)] == [(i, want[i], want[i] == i) for i, _ in sorted(rows)] and want[2] == 1 and want[7] == 4
+
+
 def test_a_long_chain_is_one_component(spark):
     ids = [int(x) for x in np.random.default_rng(5).permutation(1000)]
     links = spark.createDataFrame(list(itertools.pairwise(ids)) + [(5000, 4000), (4000, 5000)], "u long, v long")
@@ -702,6 +779,39 @@ def test_bpe_against_the_library(spark):
     assert bpe.encode_documents(docs(spark, rows).limit(0), path).count() == 0
 
 
+def test_vocabularies_without_ordered_merges(monkeypatch):
+    """A pair made by a merge may rank before it: then long pre-tokens take the plain scan as well. The memo starts anew at its bound."""
+    import json
+
+    from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
+
+    letters = bpe.byte_alphabet()
+
+    def both(merges):
+        names = [*letters, *(c + "</w>" for c in letters)]
+        names += [a + b for a, b in merges if a + b not in names]
+        ids = {n: i for i, n in enumerate(dict.fromkeys(names))}
+        t = Tokenizer(models.BPE(vocab=ids, merges=merges, end_of_word_suffix="</w>"))
+        t.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Replace(Regex("\\s+"), " "), normalizers.Lowercase()])
+        t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex("[a-z]+"), "removed", invert=True), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        t.add_special_tokens(["<|end|>"])
+        return t, bpe.Vocabulary(t.to_str())
+
+    plain, v = both([("a", "b"), ("ab", "c"), ("c", "ab")])
+    assert v.ordered
+    # ("ab", "a") ranks before ("a", "b"), which makes its left part.
+    early, w = both([("ab", "a"), ("a", "b"), ("b", "a")])
+    assert not w.ordered and not json.loads(early.to_str())["model"]["ignore_merges"]
+    monkeypatch.setattr(bpe, "MEMO", 3)
+    rng = np.random.default_rng(2)
+    for library, vocabulary in ((plain, v), (early, w)):
+        encoder = bpe.Encoder(vocabulary)
+        for n in (3, 40, 65, 200, 900):
+            text = " ".join("".join(rng.choice(list("abc"), n)) for _ in range(4))
+            assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.memo) <= 3
+
+
 # Shared helpers
 
 

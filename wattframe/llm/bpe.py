@@ -9,11 +9,13 @@ The vocabulary file is a parameter: a JSON file of the public `tokenizers` forma
 lower-case normalisers, a regular-expression split and a byte-level alphabet. It is opened by path on the driver
 and sent to executors as one broadcast of fixed size (a vocabulary, not data).
 
-Texts: null counts as empty and gives no tokens. Very long texts are encoded whole. Extra columns pass through.
+Texts: null counts as empty and gives no tokens. Very long texts are encoded whole. Repeated rows and ids give a row each,
+an empty table an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import unicodedata
@@ -28,7 +30,7 @@ from wattframe.llm.common import map_batches
 
 #: Most pre-tokens that a task's memo holds; at the bound it starts anew.
 MEMO = 400_000
-#: Most adjacent ranks that are scanned one merge at a time; longer pre-tokens merge a whole rank in each scan.
+#: Most adjacent ranks that are scanned one merge at a time where a vocabulary lets longer pre-tokens merge a whole rank in each scan.
 SHORT = 64
 
 
@@ -62,11 +64,23 @@ class Vocabulary:
             if key not in self.rank:
                 self.rank[key] = n
                 self.merged[key] = self.ids[a + b]
+        #: Whether a merge never makes a pair that ranks before it: then all pairs of the lowest rank may merge in one scan.
+        first: dict[int, int] = {}
+        for key, n in self.rank.items():
+            for part in (key >> 32, key & 0xFFFFFFFF):
+                first[part] = min(n, first.get(part, n))
+        self.ordered = all(first.get(self.merged[key], n + 1) > n for key, n in self.rank.items())
         alphabet = byte_alphabet()
         self.byte_id = [self.ids[c] for c in alphabet]
         self.byte_end = [self.ids[c + self.suffix] for c in alphabet]
 
 
+@functools.lru_cache(maxsize=2)
+def vocabulary(source: str) -> Vocabulary:
+    """Parsed once in a worker, whatever the number of its tasks."""
+    return Vocabulary(source)
+
+
 class Encoder:
     """Encodes texts of one task."""
 
@@ -84,7 +98,7 @@ class Encoder:
         none = 1 << 60
         rank, merged = self.v.rank.get, self.v.merged
         ranks = [rank(a << 32 | b, none) for a, b in zip(ids, ids[1:], strict=False)]
-        if len(ranks) > SHORT:
+        if len(ranks) > SHORT and self.v.ordered:
             return self.long_word(ids, ranks)
         while ranks:
             low = min(ranks)
@@ -102,8 +116,8 @@ class Encoder:
     def long_word(self, ids: list[int], ranks: list[int]) -> tuple[int, ...]:
         """The same rank array for a very long pre-token: one pass deletes every boundary of the lowest rank, left to right.
 
-        Merges of one rank are one pair; merging its occurrences from the left in a pass equals repeated scans, since a
-        merge creates only pairs of the new part, whose ranks are looked up afresh before the next pass.
+        Merges of one rank are one pair. Merging its occurrences from the left in a pass equals repeated scans where no pair
+        of the new part ranks before it, which holds for an ordered vocabulary; others take the plain loop at any length.
         """
         none = 1 << 60
         rank, merged = self.v.rank.get, self.v.merged
@@ -172,7 +186,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         source = spark.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(source.value))
+        encoder = Encoder(vocabulary(source.value))
         for batch in batches:
             counts, shas, back, kept, texts = [], [], [], [], []
             for value in batch.column(1):

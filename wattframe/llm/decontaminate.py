@@ -273,9 +273,18 @@ class Shard:
 
 SPAN = ("start", "end", "first_word", "end_word")
 SPANS = pa.list_(pa.struct([(k, pa.int32()) for k in SPAN]))
-#: What the scan adds to the columns of the documents.
-FOUND = "__n_words long, __n_hit long, __items array<string>, __spans array<struct<start:int,end:int,first_word:int,end_word:int>>"
-NAMES = [x.split()[0] for x in FOUND.split(", ")]
+#: What the scan adds at the end of the documents' columns, under these names or others that they leave free.
+FOUND = {"n_words": "long", "n_hit": "long", "items": "array<string>", "spans": "array<struct<start:int,end:int,first_word:int,end_word:int>>"}
+
+
+def free_names(columns: list[str]) -> list[str]:
+    """A name for each column of FOUND that no column of the caller has, in any case of its letters."""
+    used, out = {c.lower() for c in columns}, []
+    for name in FOUND:
+        while name in used:
+            name = f"found_{name}"
+        out.append(name)
+    return out
 
 
 def joined_spans(one: list[tuple], more: list[tuple]) -> list[tuple]:
@@ -290,12 +299,14 @@ def joined_spans(one: list[tuple], more: list[tuple]) -> list[tuple]:
     return out
 
 
-def _scan(docs: DataFrame, ids: list, texts: list, window: int, text_col: str) -> DataFrame:
-    """The rows of docs with what a block's phrases hit, joined to what earlier blocks hit. No shuffle, a row for each row."""
+def _scan(docs: DataFrame, ids: list, texts: list, window: int, text_col: str, names: list[str]) -> DataFrame:
+    """The rows of docs with what a block's phrases hit, joined to what earlier blocks hit. No shuffle, a row for each row.
+
+    names: of the columns of finds; the last columns of docs already where an earlier block made them.
+    """
     phrases = docs.sparkSession.sparkContext.broadcast(Phrases(ids, texts, window))
-    before = NAMES[0] in docs.columns
-    columns = [c for c in docs.columns if c not in NAMES]
-    at, n = docs.columns.index(text_col), len(columns)
+    before = docs.columns[-len(names) :] == names
+    at, n = docs.columns.index(text_col), len(docs.columns) - before * len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = phrases.value
@@ -313,7 +324,7 @@ def _scan(docs: DataFrame, ids: list, texts: list, window: int, text_col: str) -
                     where = [joined_spans(x, y) for x, y in zip(old, where, strict=True)]
                     hit = np.array([sum(x[3] - x[2] for x in y) for y in where], dtype=np.int64)
                 found = [pa.array(n_words[rows]), pa.array(hit), pa.array(list(map(sorted, named)), pa.list_(pa.string())), pa.array([[dict(zip(SPAN, y, strict=True)) for y in x] for x in where], SPANS)]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *found], names=[*batch.schema.names[:n], *NAMES])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:n], *found], names=[*batch.schema.names[:n], *names])
 
         shard, held, size = Shard(p), [], 0
         for batch in batches:
@@ -326,13 +337,14 @@ def _scan(docs: DataFrame, ids: list, texts: list, window: int, text_col: str) -
         if held:
             yield from result(shard, held)
 
-    plain = docs.select(*[F.col(f"`{c}`") for c in [*columns, *(NAMES if before else ())]])
-    found = StructType.fromDDL(FOUND)
-    return map_batches(plain, run, StructType([*[f for f in plain.schema.fields if f.name not in NAMES], *found.fields]))
+    found = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in zip(names, FOUND.values(), strict=True)))
+    return map_batches(docs, run, StructType([*docs.schema.fields[:n], *found.fields]))
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows and columns of docs, and the columns FOUND: n_words, n_hit, items (ids as strings, sorted), spans to remove.
+    """The rows and columns of docs, and four more at the end: n_words, n_hit, items (ids as strings, sorted), spans to remove.
+
+    Where docs has a column of such a name, the new one gets another (see free_names).
 
     Rows keep their own finds from block to block, so every row of docs gives one row whatever its id and whatever the
     number of blocks. With several blocks each pass's rows are settled in the shared folder for the next pass.
@@ -340,10 +352,10 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("words")).filter("item is not null and words is not null")
     chars = items.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1
-    out, used = docs, None
+    out, used, names = docs, None, free_names(docs.columns)
     for block in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("words", "item"), F.lit(blocks)) == block).collect()
-        out = _scan(out, [r.item for r in rows], [r.words for r in rows], window, text_col)
+        out = _scan(out, [r.item for r in rows], [r.words for r in rows], window, text_col, names)
         if block < blocks - 1:
             done = settle(out, "decontaminated")
             if used is not None:
@@ -358,7 +370,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     A window is `window` consecutive words of an item, or all of a shorter item.
     """
     found = scan_documents(docs.select(id_col, text_col), benchmark, window, text_col, item_col, item_text_col)
-    return found.select(id_col, *[F.col(c).alias(c.removeprefix("__")) for c in NAMES])
+    return found.select(id_col, *[F.col(c).alias(name) for c, name in zip(found.columns[-len(FOUND) :], FOUND, strict=True)])
 
 
 def is_contaminated(n_words: str = "n_words", n_hit: str = "n_hit") -> Column:

@@ -1,6 +1,7 @@
 """Main text of web pages by markup zones and a suffix array of each host.
 
-A page's scan gives blocks of text, each in a zone: MAIN (the longest article or main), SIDE (other articles beside it),
+A page's scan follows HTML's rules for open elements (optional end tags, elements that end with their parent, stray end
+tags) and gives blocks of text, each in a zone: MAIN (the longest article or main), SIDE (other articles beside it),
 CHROME (menus, headers, footers, sidebars, notices, adverts, forms, comments) or OPEN (anything else). Scripts, styles
 and markup give none.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +56,14 @@ MAIN_TAGS = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 BOXES = {"aside", "dd", "div", "dl", "li", "ol", "p", "section", "span", "table", "td", "ul", "article"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Optional end tags of the HTML standard: what ends an open paragraph and where that search stops, what an item or a part of a table ends.
+ENDS_P = BLOCK - {"body", "caption", "head", "html", "legend", "option", "tbody", "td", "tfoot", "th", "thead", "tr"}
+P_SCOPE = {"button", "caption", "table", "td", "th"}
+ITEMS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
+_BODIES = {"tbody", "thead", "tfoot"}
+TABLE_PARTS = {"td": {"tr", *_BODIES, "table"}, "th": {"tr", *_BODIES, "table"}, "tr": {*_BODIES, "table"}} | dict.fromkeys([*_BODIES, "caption"], {"table"})
+TABLE_ENDS = {*TABLE_PARTS, "table"}
 #: Whole class, id and role names; a name that only contains one of them says nothing.
 CHROME_NAMES = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "header", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo", "related", "respond", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "widget"}
 #: Names of two parts, made by rule: a place and a kind, or a kind and a form.
@@ -74,32 +84,84 @@ def _is_chrome(tag: str, attributes: str) -> bool:
     return bool(HIDDEN.search(attributes)) or any(CHROME_NAMES.intersection((m[0] or m[1] or m[2]).lower().replace("_", "-").split()) for m in NAMED.findall(attributes))
 
 
-def blocks_of(page: str | None) -> list[tuple[str, str]]:
-    """(zone, text) of each block that has text, in page order; white space inside is one space."""
-    if not page:
-        return []
-    out: list[tuple[str, str]] = []
-    here: list[str] = []
-    #: The article (by number) of each block in one.
-    regions: list[int] = []
-    at, main, region, end = 0, 0, 0, len(page)
-    chrome, depth = "", 0
-
-    def flush() -> None:
-        text = "".join(here)
-        here.clear()
-        text = " ".join((entities.unescape(text) if "&" in text else text).split())
-        if text:
-            out.append((CHROME if depth else MAIN if main else OPEN, text))
-            regions.append(region if main and not depth else 0)
+class Element:
+    """An element of the tree: its name, whether it is chrome by itself, and whether its own end tag closed it."""
+
+    __slots__ = ("chrome", "closed", "name", "wraps")
+
+    def __init__(self, name: str, chrome: bool) -> None:
+        self.name, self.chrome, self.closed, self.wraps = name, chrome, False, False
+
+
+def _implied(stack: list[Element], opened: Counter, name: str) -> int:
+    """How many elements stay open when `name` starts: the optional end tags of HTML."""
+    keep = len(stack)
+    if name in ENDS_P:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k].name == "p":
+                keep = k
+                break
+            if stack[k].name in P_SCOPE or stack[k].name in BLOCK:
+                break
+    if name in ITEMS:
+        same = ITEMS[name]
+        for k in range(keep - 1, -1, -1):
+            if stack[k].name in same:
+                return k
+            if stack[k].name in BLOCK and stack[k].name not in ("address", "div", "p"):
+                break
+    elif name in TABLE_PARTS and opened["table"]:
+        stop = TABLE_PARTS[name]
+        for k in range(keep - 1, -1, -1):
+            if stack[k].name in stop:
+                return k + 1
+    elif name in HEADINGS and keep and stack[keep - 1].name in HEADINGS:
+        return keep - 1
+    return keep
+
+
+def _ended(stack: list[Element], opened: Counter, name: str) -> int:
+    """The place of the open element that the end tag of `name` closes, or -1: end tags don't reach out of a table cell or a block."""
+    if not opened[name] and name not in HEADINGS:
+        return -1
+    for k in range(len(stack) - 1, -1, -1):
+        here = stack[k].name
+        if here == name or (name in HEADINGS and here in HEADINGS):
+            return k
+        if (here in ("td", "th", "caption", "table") and name not in TABLE_ENDS) or (here in BLOCK and name not in BLOCK):
+            return -1
+    return -1
+
+
+def _events(page: str) -> list[tuple[str, str | Element | None]]:
+    """The page as a stream: ("text", string), ("open", element), ("close", element), ("break", None).
+
+    Only elements that can be blocks, chrome or main text are tracked. Every element that opens closes: by its end tag, by
+    another tag that implies its end, with its parent, or at the end of the page.
+    """
+    out: list[tuple[str, str | Element | None]] = []
+    stack: list[Element] = []
+    #: How many elements of each name are open.
+    opened: Counter = Counter()
+    #: Of each article or main: the chrome elements around it.
+    around: list[list[Element]] = []
+    at, end = 0, len(page)
+
+    def cut(keep: int) -> None:
+        while len(stack) > keep:
+            shut(len(stack) - 1)
+
+    def shut(k: int) -> None:
+        opened[stack[k].name] -= 1
+        out.append(("close", stack.pop(k)))
 
     while at < end:
         m = TAG.search(page, at)
         if m is None:
-            here.append(page[at:])
+            out.append(("text", page[at:]))
             break
         if m.start() > at:
-            here.append(page[at : m.start()])
+            out.append(("text", page[at : m.start()]))
         at = m.end()
         name = m[2] or m[5]
         if name is None:
@@ -109,24 +171,85 @@ def blocks_of(page: str | None) -> list[tuple[str, str]]:
             if not closing and not attributes.endswith("/"):
                 stop = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
                 at = stop.end() if stop else end
-            continue
-        if name in VOID:
+        elif name in VOID:
             if name == "hr":
-                flush()
+                cut(_implied(stack, opened, name))
+                out.append(("break", None))
             elif name == "br":
-                here.append(" ")
+                out.append(("text", " "))
+        elif closing:
+            k = _ended(stack, opened, name)
+            if k >= 0:
+                stack[k].closed = True
+                if name == "form":  # a form ends by itself: what it opened stays open
+                    shut(k)
+                else:
+                    cut(k)
+            elif name in BLOCK:
+                out.append(("break", None))
+        elif name in BLOCK or name in CHROME_TAGS or name in BOXES:
+            if name == "form" and opened[name]:
+                continue
+            cut(_implied(stack, opened, name))
+            element = Element(name, _is_chrome(name, attributes))
+            if name in MAIN_TAGS:
+                around.append([e for e in stack if e.chrome])
+            stack.append(element)
+            opened[name] += 1
+            out.append(("open", element))
+    cut(0)
+    for chrome in around:  # a form around main text is the page's frame
+        if all(e.name == "form" or not e.closed for e in chrome):
+            for e in chrome:
+                e.wraps |= e.name == "form"
+    return out
+
+
+def blocks_of(page: str | None) -> list[tuple[str, str]]:
+    """(zone, text) of each block that has text, in page order; white space inside is one space.
+
+    Chrome ends where its element ends by the rules of HTML. A form around an article or main is no chrome. Chrome that
+    no end tag closes ends where the page's first article or main begins.
+    """
+    if not page:
+        return []
+    out: list[tuple[str, str]] = []
+    here: list[str] = []
+    #: The article (by number) of each block in one.
+    regions: list[int] = []
+    chrome: list[Element] = []
+    main: list[Element] = []
+    region = 0
+
+    def flush() -> None:
+        text = "".join(here)
+        here.clear()
+        text = " ".join((entities.unescape(text) if "&" in text else text).split())
+        if text:
+            out.append((CHROME if chrome else MAIN if main else OPEN, text))
+            regions.append(region if main and not chrome else 0)
+
+    for kind, e in _events(page):
+        if kind == "text":
+            here.append(e)
+            continue
+        if kind == "break":
+            flush()
             continue
-        starts = not closing and not depth and _is_chrome(name, attributes)
-        if name in BLOCK or starts or (depth and name == chrome):
+        if e.name in BLOCK or e.chrome:
             flush()
-        if depth:
-            if name == chrome:
-                depth += -1 if closing else 1
-        elif starts:
-            chrome, depth = name, 1
-        elif name in MAIN_TAGS:
-            region += not closing and not main
-            main = max(0, main + (-1 if closing else 1))
+        if kind == "open":
+            if e.name in MAIN_TAGS and chrome and not region and not any(c.closed for c in chrome):
+                chrome.clear()
+            if e.chrome and not e.wraps:
+                chrome.append(e)
+            elif e.name in MAIN_TAGS and not chrome:
+                region += not main
+                main.append(e)
+        elif e in chrome:
+            chrome.remove(e)
+        elif e in main:
+            main.remove(e)
     flush()
     if region > 1:
         sizes: dict[int, int] = {}

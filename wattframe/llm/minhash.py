@@ -248,6 +248,9 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # Settled, so that the join's sides are plain shuffles and a digest that many documents share can be split.
     classes = settle(some.groupBy("digest").agg(F.min("id").alias("class"), F.count("*").alias("n")).filter("n > 1").drop("n"), "shared")
     classed = settle(some.select("id", "digest").join(classes, "digest", "left").select("id", F.coalesce("class", "id").alias("class")), "classes")
+    # Classes that share an id are linked: repeated rows of one id share the union of their links.
+    several = classed.groupBy("id").agg(F.min("class").alias("u"), F.max("class").alias("last")).filter("u < last").select("id", "u")
+    shared = classed.join(several, "id").filter("class > u").select("u", F.col("class").alias("v")).distinct()
     heads = some.join(classed.filter("id = class").select("id").distinct(), "id", "left_semi").dropDuplicates(["id", "digest"])
     buckets = heads.select("id", F.explode("bands").alias("band"))
     crowded = buckets.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
@@ -259,7 +262,7 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     leaders = members.join(reach, "id").groupBy("band").agg(F.max_by("id", F.struct("reach", "id")).alias("leader"))
     stars = members.join(leaders, "band").filter("id <> leader").select(*_pair("id", "leader")).distinct()
-    links = settle(confirm(screen(stars, heads), sets), "links")
+    links = settle(confirm(screen(stars, heads), sets).union(shared), "links")
     component = connected(links)
 
     inside = settle(_open(members, component), "open")
