@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet in the shared
 folder and reads it again as the next stage's docs. All stages but the last return the columns of documents. Rows with
 a null doc_id are never joined to others and stay unless a decision on their own text drops them. Rows that repeat a
-doc_id are one document: they stay or go together.
+doc_id are one document to near-dedup, and stay or go together there, equal ones too; quality and contamination are
+decided for each row on its own text. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words benchmark windows cover a twentieth or more go; the others stay as they are."""
     found = decontaminate.scan_documents(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(~decontaminate.is_contaminated("__n_words", "__n_hit")).select(*docs.columns)
+    return found.filter(~decontaminate.is_contaminated(*found.columns[-4:-2])).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
