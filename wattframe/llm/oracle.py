@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wattframe.llm import chat, licenses, secrets
+from wattframe.llm import chat, clusters, licenses, repetition, secrets
 
 #: op5: the same template and escapes, read straight from the turns.
 _FOUND = "|".join("".join(f"\\{x}" if not x.isalnum() else x for x in c) for c in sorted(chat.CONTROL, key=len, reverse=True))
@@ -86,4 +86,52 @@ a as (select doc_id, k, s, s + length(m) as e from k0 where length(v) >= {secret
 g as (select doc_id, count_if(k = 0)::bigint as n0, count_if(k = 1)::bigint as n1, count_if(k = 2)::bigint as n2, string_agg({_KINDS}[k + 1] || ':' || s || ':' || e, ',' order by s, k, e) filter (k < 3) as base, string_agg({_KINDS}[k + 1] || ':' || s || ':' || e, ',' order by s, k, e) as spans from a group by 1)
 select doc_id, coalesce(n0, 0) as n_assign, coalesce(n1, 0) as n_access, coalesce(n2, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join g using (doc_id)"""
 
-SQL = {"op2_secrets": OP2, "op3_licenses": OP3, "op5_chat": OP5, "op6_decontaminate": OP6, "op7_near_duplicates": OP7}
+_WHOLE = "embedding is not null and list_count(embedding) = len(embedding) and len(list_filter(embedding, lambda x: not isfinite(x))) = 0"
+
+#: op11: every anchor's scores with every row, without codes or bounds.
+OP11 = f"""
+with w as (select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings where vec_id is not null and label is not null and len(embedding) > 0 and {_WHOLE}),
+v as (select vec_id, min(struct_pack(label := label, v := v)) as x from w group by 1),
+s as (select a.vec_id as a, b.vec_id as b, a.x.label = b.x.label as same, list_inner_product(a.x.v, b.x.v)::bigint as score from v a join v b on a.vec_id <> b.vec_id and len(a.x.v) = len(b.x.v) where a.vec_id % 100 = 0),
+p as (select a, b as p, score as ps from s where same qualify row_number() over (partition by a order by score desc, b) <= 5),
+n as (select a, p, ps, b, score, row_number() over (partition by a, p order by score desc, b) as place from p join s using (a) where not same and 30 * ps <= 100 * score and 100 * score <= 90 * ps)
+select a as anchor_id, p as positive_id, place::int as rank, b as negative_id, ps as positive_score, score as negative_score from n where place <= 10"""
+
+
+def _op12(clusters: int, rounds: int, scale: int, size: int, seed: int) -> str:
+    """A nearest centroid by all distances, round by round."""
+    distance = "list_sum(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])))::bigint"
+    ctes = [
+        f"v as (select vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as v from embeddings where len(embedding) = {size} and {_WHOLE})",
+        f"c0 as (select (row_number() over (order by coalesce(sha256('{seed}:' || vec_id), '~'), v) - 1)::int as k, v as c from v qualify k < {clusters})",
+    ]
+    for r in range(rounds + 1):
+        ctes.append(f"a{r} as (select vec_id, v, arg_min(k, d * {clusters} + k) as k, min(d) as d from (select vec_id, v, k, {distance} as d, row from (select *, row_number() over () as row from v), c{r}) group by row, vec_id, v)")
+        if r < rounds:
+            ctes.append(f"s{r} as (select k, i, sum(x)::bigint as s, count(*)::bigint as n from (select k, unnest(v) as x, unnest(range({size})) as i from a{r}) group by 1, 2)")
+            ctes.append(f"m{r} as (select k, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as c from s{r} group by 1)")
+            ctes.append(f"c{r + 1} as (select k, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} using (k))")
+    last = f"select vec_id, k as cluster, d as distance, sum(d) over (partition by k)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256 from a{rounds} join c{rounds} using (k)"
+    return "with " + ",\n".join(ctes) + "\n" + last
+
+
+OP12 = _op12(clusters.CLUSTERS, clusters.ROUNDS, clusters.SCALE, clusters.SIZE, clusters.SEED)
+
+_LINES13 = "list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))"
+
+
+def _repeated13(name: str, words: int) -> str:
+    """Words inside windows of so many words that stand twice or more in a text."""
+    return f"""g{name} as (select doc_id, i, array_to_string(w[i:i + {words - 1}], ' ') as gram from (select doc_id, w, unnest(range(1, len(w) - {words - 2})) as i from d where len(w) >= {words})),
+r{name} as (select doc_id, i from g{name} qualify count(*) over (partition by doc_id, gram) > 1),
+{name} as (select doc_id, count(distinct k)::bigint as {name} from (select doc_id, unnest(range(i, i + {words})) as k from r{name}) group by 1)"""
+
+
+OP13 = f"""
+with d as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w, {_LINES13} as l from documents),
+{_repeated13("again", repetition.LEAST)}, {_repeated13("longer", repetition.MOST_LONGEST + 1)},
+b as (select doc_id, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, coalesce(again, 0) as n_repeat_words, coalesce(longer, 0) > 0 as too_long from d left join again using (doc_id) left join longer using (doc_id)),
+f as (select *, n_words < {repetition.LEAST_WORDS} or 100 * n_repeat_words > {repetition.MOST_SHARE} * n_words as base_failed from b)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not too_long and 100 * n_repeat_words <= {repetition.MOST_COVERED} * n_words as kept from f"""
+
+SQL = {"op2_secrets": OP2, "op3_licenses": OP3, "op5_chat": OP5, "op6_decontaminate": OP6, "op7_near_duplicates": OP7, "op11_negatives": OP11, "op12_clusters": OP12, "op13_repetition": OP13}

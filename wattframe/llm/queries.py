@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.llm import ann, bpe, chat, decontaminate, html_extract, licenses, minhash, oracle, quality, secrets, token_counts
+from wattframe.llm import ann, bpe, chat, clusters, decontaminate, html_extract, licenses, minhash, negatives, oracle, quality, repetition, secrets, token_counts
 from wattframe.llm.common import table
 
 #: Folder of the public tokenizers' vocabulary files; a parameter of whoever runs the queries elsewhere.
@@ -58,6 +58,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.digests(clusters.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.digests(repetition.judge(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
