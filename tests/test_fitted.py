@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wattframe.operators import models
+from wattframe.operators import models, state_space
 from wattframe.plans import fitted, scenario, sensitivity
 from wattframe.plans.bindings import series
 from wattframe.sources import calendar
@@ -23,27 +23,44 @@ def month(k):
 
 def test_arima_continues_growth_and_season():
     y = np.exp(0.01 * np.arange(84) + np.tile(np.sin(np.arange(12)), 7))
-    assert np.allclose(models.arima(y[:72], 100), y[72:], rtol=1e-6)
-
-
-def test_shocks_by_the_recursion():
-    rng = np.random.default_rng(3)
-    w, (a, s, m, g) = rng.normal(size=40), (0.4, 0.3, -0.5, 0.2)
-    e = []
-    for t in range(40):
-        x = lambda v, k: v[t - k] if t >= k else 0.0  # noqa: B023, E731
-        e.append(w[t] - a * x(w, 1) - s * x(w, 12) + a * s * x(w, 13) - m * x(e, 1) - g * x(e, 12) - m * g * x(e, 13))
-    assert np.allclose(models._shocks(w, np.array([a, s, m, g])), e)
-
-
-def test_arima_search_against_a_grid():
+    assert np.allclose(state_space.arima(y[:72], 100), y[72:], rtol=1e-6)
+
+
+@pytest.mark.parametrize("weights", [(0.5, 0.3, -0.4, -0.6), (0, 0, 0.9, -0.9), (-0.8, 0.9, 0.2, 0.1), (0, 0, 0, 0), (0.7, 0, 0, -0.5)])
+def test_likelihood_equals_the_normal_density(weights):
+    """Autocovariances from the weights of all past shocks, the density by Cholesky."""
+    w, weights = np.random.default_rng(3).normal(size=40), np.array(weights, dtype=float)
+    values, shocks = state_space.polynomials(weights)
+    psi = np.zeros(6000)
+    psi[:14] = np.r_[1.0, shocks]
+    for k in range(1, len(psi)):
+        psi[k] += sum(values[j - 1] * psi[k - j] for j in (1, 12, 13) if k >= j)
+    cov = np.array([psi[: len(psi) - h] @ psi[h:] for h in range(40)])[np.abs(np.subtract.outer(np.arange(40), np.arange(40)))]
+    root = np.linalg.cholesky(cov)
+    z = np.linalg.solve(root, w)
+    variance = z @ z / 40
+    density = -0.5 * (40 * np.log(2 * np.pi * variance) + 40) - np.log(np.diag(root)).sum()
+    assert state_space.log_likelihood(w, weights) == pytest.approx((density, variance), abs=1e-8)
+    # The forecast is the conditional mean of the same density.
+    model = state_space.StateSpace.of(weights)
+    joint = np.array([psi[: len(psi) - h] @ psi[h:] for h in range(46)])[np.abs(np.subtract.outer(np.arange(46), np.arange(46)))]
+    assert np.allclose(model.ahead(model.filter(w)[2], 6), joint[40:, :40] @ np.linalg.solve(cov, w), atol=1e-8)
+
+
+@pytest.mark.parametrize("orders", state_space.ORDERS)
+def test_simplex_finds_the_best_likelihood_of_a_grid(orders):
     rng = np.random.default_rng(5)
-    w = models._continue(np.zeros(13), rng.normal(size=13), np.array([0, 0, -0.6, -0.4])) + list(rng.normal(size=47))
-    w = np.array(w)
-    loss = lambda m, g: (models._shocks(w, np.array([0, 0, m, g])) ** 2).sum()
-    grid = min(loss(m, g) for m in np.arange(-0.95, 1, 0.05) for g in np.arange(-0.95, 1, 0.05))
-    at, found = models._least_squares(w, np.array([False, False, True, True]))
-    assert found <= grid * 1.01 and not at[0] and not at[1]
+    w = np.convolve(rng.normal(size=71), np.r_[1, -0.5, np.zeros(10), -0.4, 0.2])[13:-13]
+    found = state_space.fit(w, orders)
+    free = np.array([orders[0][0], orders[1][0], orders[0][1], orders[1][1]], dtype=bool)
+    axes = np.meshgrid(*[np.linspace(-0.95, 0.95, 13)] * int(free.sum()))
+    best = -np.inf
+    for point in np.stack([x.ravel() for x in axes], axis=1):
+        weights = np.zeros(4)
+        weights[free] = point
+        best = max(best, state_space.log_likelihood(w, weights)[0])
+    assert found.likelihood >= best - 1e-3 and not found.weights[~free].any()
+    assert state_space.log_likelihood(w, found.weights) == pytest.approx((found.likelihood, found.variance))
 
 
 def test_ridge_with_business_days_by_gradient():
@@ -122,6 +139,25 @@ def test_selection_by_loops(spark, skill):
     assert list(got.index[got.chosen]) == [pick] and (pick == "naive") == (skill > 1)
 
 
+def test_choices_see_nothing_of_what_comes_after(spark):
+    """All values after an origin are corrupted: choices and chosen forecasts up to it stay, those after it don't."""
+    rng = np.random.default_rng(21)
+    values = np.exp(0.01 * np.arange(60) + 0.2 * np.tile(np.sin(np.arange(12)), 5) + 0.02 * rng.normal(size=60)) * 100
+    at = 24000 + 50
+
+    def chosen(v):
+        s = spark.createDataFrame([(month(24000 + k), 24000 + k, float(x)) for k, x in enumerate(v)], "month date, mi int, value double")
+        pairs = fitted.candidate_pairs(spark, s, months=30)
+        picks = {r["at"]: r.model for r in fitted.choices(pairs).filter("chosen").collect()}
+        return picks, {(r.origin, r.horizon): r.p for r in fitted.chosen_pairs(pairs).collect()}
+
+    picks, p = chosen(values)
+    after, q = chosen(np.r_[values[:51], values[51:] * rng.uniform(0.2, 5, 9)])
+    upto = lambda d: {k: v for k, v in d.items() if (k[0] if isinstance(k, tuple) else k) <= month(at)}
+    assert upto(picks) == upto(after) and upto(p) == upto(q) and upto(p) and p != q
+    assert set(picks.values()) - {"naive"}
+
+
 @needs_tables
 def test_chosen_forecasts_reach_production_and_decisions(spark):
     s = series(spark, SF)

@@ -81,74 +81,6 @@ def autoregression(values: np.ndarray, last: int) -> np.ndarray:
     return best[1]
 
 
-#: ARMA orders (p, q) and seasonal ones, after one plain and one seasonal difference of the logs.
-ORDERS = [((0, 1), (0, 1)), ((1, 0), (0, 1)), ((1, 1), (0, 1)), ((0, 1), (1, 0))]
-
-
-def arima(values: np.ndarray, last: int) -> np.ndarray:
-    """Seasonal ARIMA of logs by conditional sum of squares, values before the window taken as zero; the orders of least AICc."""
-    y = np.log(values)
-    w = np.diff(y[12:] - y[:-12])
-    best = None
-    for (p, q), (ps, qs) in ORDERS:
-        free = np.array([p, ps, q, qs], dtype=bool)
-        weights, loss = _least_squares(w, free)
-        n, k = len(w), int(free.sum()) + 1
-        aicc = n * np.log(loss / n) + 2 * k + 2 * k * (k + 1) / max(n - k - 1, 1)
-        if best is None or aicc < best[0]:
-            best = (aicc, weights)
-    shocks = _shocks(w, best[1])
-    ahead = _continue(w, shocks, best[1])
-    path = list(y)
-    for d in ahead:
-        path.append(path[-1] + path[-12] - path[-13] + d)
-    return np.exp(path[-12:])
-
-
-def _lagged(weights: np.ndarray) -> tuple[tuple, tuple]:
-    """(lag, weight) of past values and of past shocks: the products of the plain and the seasonal polynomial."""
-    a, s, m, g = weights
-    return ((1, a), (12, s), (13, -a * s)), ((1, m), (12, g), (13, m * g))
-
-
-def _shocks(w: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    values, shocks = _lagged(weights)
-    e = w.copy()
-    for lag, x in values:
-        e[lag:] -= x * w[: max(len(w) - lag, 0)]
-    for t in range(1, len(e)):
-        e[t] -= sum(x * e[t - lag] for lag, x in shocks if lag <= t and x)
-    return e
-
-
-def _continue(w: np.ndarray, shocks: np.ndarray, weights: np.ndarray) -> list[float]:
-    """Twelve further values with shocks of zero."""
-    n, path, (of_values, of_shocks) = len(w), list(w), _lagged(weights)
-    for t in range(n, n + 12):
-        past = sum(x * path[t - lag] for lag, x in of_values if lag <= t)
-        path.append(past + sum(x * shocks[t - lag] for lag, x in of_shocks if 0 <= t - lag < n))
-    return path[n:]
-
-
-def _least_squares(w: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, float]:
-    """The free weights of the least sum of squared shocks, by a coordinate search inside (-0.98, 0.98)."""
-    loss = lambda x: max(float((_shocks(w, x) ** 2).sum()), 1e-12)
-    at, width = np.zeros(4), 0.4
-    low = loss(at)
-    while width > 0.005:
-        moved = False
-        for k in np.flatnonzero(free):
-            for d in (-width, width):
-                trial = at.copy()
-                trial[k] = np.clip(trial[k] + d, -0.98, 0.98)
-                found = loss(trial)
-                if found < low:
-                    at, low, moved = trial, found, True
-        if not moved:
-            width /= 2
-    return at, low
-
-
 def ridge(values: np.ndarray, last: int, penalty: float = 1.0, business: np.ndarray | None = None) -> np.ndarray:
     """Logs on a trend, month dummies and log days of the month; standardised, intercept free of penalty.
 

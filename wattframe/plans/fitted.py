@@ -1,8 +1,8 @@
 """Selection, production rows and contract decisions on fitted models.
 
 Candidates are the seasonal naive, four models fitted at every origin, and two means of them; the chosen one's errors
-calibrate its intervals and make the consumption scenarios. The choice sees all pairs, so that backtests of its decisions
-are not out of sample in that one respect. Windows hold MONTHS months: the bound series has 80, and longer
+calibrate its intervals and make the consumption scenarios. The choice is made anew at every origin, from pairs whose target is
+known there, so that a backtested decision sees nothing of what came after it. Windows hold MONTHS months: the bound series has 80, and longer
 windows would leave no December whose next year is known. A window with a gap or a value that isn't positive has no forecast.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from wattframe.functions import columns as C
 from wattframe.operators import relational as R
 from wattframe.operators import stats as S
-from wattframe.operators.models import arima, boosted, ridge, smoothing
+from wattframe.operators.models import boosted, ridge, smoothing
+from wattframe.operators.state_space import arima
 from wattframe.plans import scenario
 from wattframe.plans.aggregates import naive_pairs, r3
 from wattframe.plans.bindings import series
@@ -83,37 +84,47 @@ def candidate_pairs(spark: SparkSession, s: DataFrame, months: int = MONTHS) ->
     return spark.read.parquet(path)
 
 
-def selection(pairs: DataFrame) -> DataFrame:
-    """A row per model with its measures, whether it can be chosen, and whether it is.
+def selection(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """A row per model with its measures, whether it can be chosen, and whether it is; by: columns that separate choices.
 
     Eligible are models better than the naive by more than POINTS of MAPE and in YEARS_BETTER of the target years. Of those
     within POINTS of the best the least biased is chosen, then by the December origins' annual error, the worst year and
     simplicity; the naive, where none is eligible.
     """
+    by = by or []
     miss = F.abs(F.col("p") - F.col("a")) / F.col("a")
-    total = pairs.groupBy("model").agg(F.count("*").alias("n"), r3(100 * F.avg(miss), 6).alias("mape"), r3(100 * F.avg((F.col("p") - F.col("a")) / F.col("a")), 6).alias("bias"))
+    total = pairs.groupBy(*by, "model").agg(F.count("*").alias("n"), r3(100 * F.avg(miss), 6).alias("mape"), r3(100 * F.avg((F.col("p") - F.col("a")) / F.col("a")), 6).alias("bias"))
     hours = C.hours_in_month("target")
-    december = pairs.filter("month(origin) = 12").groupBy("model", "origin").agg(F.count("*").alias("k"), F.sum(F.col("p") * hours).alias("p"), F.sum(F.col("a") * hours).alias("a")).filter("k = 12")
-    december = december.groupBy("model").agg(r3(100 * F.avg(miss), 6).alias("december_error"))
-    years = pairs.groupBy("model", F.year("target").alias("year")).agg(r3(100 * F.avg(miss), 6).alias("m"))
-    naive_years = years.filter("model = 'naive'").select("year", F.col("m").alias("b"))
-    years = years.join(naive_years, "year").groupBy("model").agg(F.max("m").alias("worst_year"), F.count_if(F.col("m") < F.col("b")).alias("years_better"), F.count("*").alias("years"))
+    december = pairs.filter("month(origin) = 12").groupBy(*by, "model", "origin").agg(F.count("*").alias("k"), F.sum(F.col("p") * hours).alias("p"), F.sum(F.col("a") * hours).alias("a")).filter("k = 12")
+    december = december.groupBy(*by, "model").agg(r3(100 * F.avg(miss), 6).alias("december_error"))
+    years = pairs.groupBy(*by, "model", F.year("target").alias("year")).agg(r3(100 * F.avg(miss), 6).alias("m"))
+    naive_years = years.filter("model = 'naive'").select(*by, "year", F.col("m").alias("b"))
+    years = years.join(naive_years, [*by, "year"]).groupBy(*by, "model").agg(F.max("m").alias("worst_year"), F.count_if(F.col("m") < F.col("b")).alias("years_better"), F.count("*").alias("years"))
     simple = pairs.sparkSession.createDataFrame(list(COMPLEXITY.items()), "model string, complexity int")
-    base = total.filter("model = 'naive'").select(F.col("mape").alias("__naive"))
-    out = total.join(december, "model", "left").join(years, "model").join(simple, "model").crossJoin(F.broadcast(base)).withColumn("gain", r3(F.col("__naive") - F.col("mape"), 6)).drop("__naive")
-    eligible = (F.col("model") != "naive") & (F.col("gain") > POINTS) & (F.col("years_better") >= YEARS_BETTER * F.col("years"))
-    out = out.withColumn("eligible", eligible)
-    best = out.agg(F.min(F.when(F.col("eligible"), F.col("mape"))).alias("best"))
+    out = total.join(december, [*by, "model"], "left").join(years, [*by, "model"]).join(simple, "model")
+    # One row a model in each choice: what the rest needs are windows over these few.
+    choice = Window.partitionBy(*by, *([] if by else [F.lit(0)]))
+    naive = F.max(F.when(F.col("model") == "naive", F.col("mape"))).over(choice)
+    out = out.withColumn("gain", r3(naive - F.col("mape"), 6))
+    out = out.withColumn("eligible", F.coalesce((F.col("model") != "naive") & (F.col("gain") > POINTS) & (F.col("years_better") >= YEARS_BETTER * F.col("years")), F.lit(False)))
+    best = F.min(F.when(F.col("eligible"), F.col("mape"))).over(choice)
     order = F.struct(F.abs("bias").alias("a"), F.coalesce("december_error", F.lit(float("inf"))).alias("b"), F.col("worst_year").alias("c"), F.col("complexity").alias("d"))
-    near = out.crossJoin(F.broadcast(best)).filter(F.col("eligible") & (F.col("mape") - F.col("best") <= POINTS))
-    pick = near.agg(F.coalesce(F.min_by("model", order), F.lit("naive")).alias("__pick"))
-    return out.crossJoin(F.broadcast(pick)).withColumn("chosen", F.col("model") == F.col("__pick")).drop("__pick")
+    near = F.col("eligible") & (F.col("mape") - F.col("__best") <= POINTS)
+    out = out.withColumn("__best", best).withColumn("__pick", F.min_by("model", F.when(near, order)).over(choice))
+    return out.withColumn("chosen", F.col("model") == F.coalesce("__pick", F.lit("naive"))).drop("__best", "__pick")
+
+
+def choices(pairs: DataFrame) -> DataFrame:
+    """selection() anew at each origin (column at), from the pairs whose target is known there; origins without such pairs have none."""
+    origins = pairs.select(F.col("origin").alias("at")).distinct()
+    # Months against months: as many rows as the calendar has pairs, whatever the data.
+    return selection(pairs.join(origins, F.col("target") <= F.col("at")), ["at"])
 
 
 def chosen_pairs(pairs: DataFrame) -> DataFrame:
-    """origin, horizon, target, p, a of the chosen model."""
-    name = selection(pairs).filter("chosen").select("model")
-    return pairs.join(F.broadcast(name), "model", "left_semi").drop("model")
+    """origin, horizon, target, p, a of the model chosen at each origin; the naive where nothing is known yet."""
+    names = choices(pairs).filter("chosen").select(F.col("at").alias("origin"), F.col("model").alias("__chosen"))
+    return pairs.join(names, "origin", "left").filter(F.col("model") == F.coalesce("__chosen", F.lit("naive"))).drop("model", "__chosen")
 
 
 @query()
@@ -133,7 +144,8 @@ def fc_12b_fitted_combinations(spark, sf):
 
 @query()
 def fc_13b_fitted_selection(spark, sf):
-    return selection(candidate_pairs(spark, series(spark, sf)))
+    """The choice at each December origin, and the measures of all candidates that it rests on."""
+    return choices(candidate_pairs(spark, series(spark, sf))).filter("month(at) = 12")
 
 
 @query()
