@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -110,3 +111,39 @@ def test_models_follow_a_seasonal_series(model):
     t = np.arange(84)
     y = 1000 * (1 + 0.002 * t) * (1 + 0.1 * np.sin(2 * np.pi * t / 12))
     assert np.abs(model(y[:72], 2006 * 12 + 11) / y[72:] - 1).mean() < 0.03
+
+
+@pytest.mark.parametrize("buckets", [2, S.BUCKETS])
+def test_selected_quantiles_equal_the_sorted_ones(spark, monkeypatch, buckets):
+    """Groups of one value, of two, of ties, of denormals, of the widest range, null keys; nulls and NaN take no part."""
+    monkeypatch.setattr(S, "BUCKETS", buckets)
+    rng = np.random.default_rng(9)
+    groups = {
+        "one": [3.5], "two": [1.0, 2.0], "ties": [7.0] * 50 + [8.0], "tiny": [0.0, 5e-324, 1e-323, 1.0], "wide": [-1.7e308, 1.7e308, 0.0, 1.0, -2.5], None: list(rng.normal(size=200)),
+        "skewed": list(np.exp(rng.normal(size=300) * 20)), "cents": list(np.round(rng.uniform(0, 100, 500), 2)), "odd": [float("nan"), 1.0, 2.0, 4.0],
+    }
+    if buckets == 2:  # two buckets halve a range: only what doesn't take a thousand passes
+        groups = {k: v for k, v in groups.items() if k in ("one", "two", "ties", "odd")}
+    df = spark.createDataFrame([(k, None if x is None else float(x)) for k, v in groups.items() for x in [*v, None]], "k string, x double")
+    levels = [0.0, 0.025, 0.25, 0.5, 0.9, 1.0]
+    got = {r[0]: r[1:] for r in S.selected_quantiles(df, ["k"], "x", levels).collect()}
+    assert set(got) == set(groups)
+    for k, v in groups.items():
+        v = sorted(x for x in v if x == x)
+        assert got[k][0] == len(v)
+        for level, x in zip(levels, got[k][1:], strict=True):
+            at = level * (len(v) - 1)
+            a, b = v[math.floor(at)], v[math.ceil(at)]
+            assert x == pytest.approx(a if a == b else a * (math.ceil(at) - at) + b * (at - math.floor(at)), rel=1e-12, abs=5e-324), (k, level)
+
+
+def test_selected_quantiles_of_the_whole_table(spark):
+    df = spark.range(20_000).select((F.pmod(F.xxhash64("id"), F.lit(9973)) / 7).alias("x"), F.lit(1).alias("v"))
+    levels = [0.01, 0.5, 0.99]
+    want = df.agg(F.percentile("x", F.array(*map(F.lit, levels)))).first()[0]
+    got = S.selected_quantiles(df, [], "x", levels).first()
+    assert got[0] == 20_000 and list(got[1:]) == pytest.approx(want)
+    assert S.selected_quantiles(df.limit(0), [], "x", levels).count() == 0
+    assert S.selected_quantiles(df.limit(5), [], "x", levels, least=6).count() == 0
+    with pytest.raises(ValueError):
+        S.selected_quantiles(df.select(F.lit(float("inf")).alias("x")), [], "x", levels)

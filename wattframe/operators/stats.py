@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattframe.session import scratch
+
+#: Buckets of one refinement: three passes tell 10^10 places of a range apart.
+BUCKETS = 4096
+#: Most ranges that are broadcast to the rows (some 100 bytes each); beyond that they meet by a shuffle.
+MOST_RANGES = 200_000
+
 
 def upper_cvar(df: DataFrame, keys: Sequence[str], value: str, alpha: float, out: str = "cvar") -> DataFrame:
     """Mean of the largest (1 - alpha) share of each group, the last item by its fraction.
@@ -31,11 +38,88 @@ def accuracy(df: DataFrame, keys: Sequence[str], predicted: str, actual: str) ->
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, levels: Sequence[float], least: int = 1) -> DataFrame:
-    """Linearly interpolated quantiles of groups with at least `least` rows."""
+    """Linearly interpolated quantiles of groups with at least `least` rows, a group in one buffer: for groups of bounded size."""
     grouped = df.groupBy(*keys).agg(F.count(value).alias("n"), F.percentile(value, F.array(*map(F.lit, levels))).alias("__q")).filter(F.col("n") >= least)
     return grouped.select(*keys, "n", *[F.col("__q")[i].alias(f"q{str(level).replace('0.', '')}") for i, level in enumerate(levels)])
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _bucket(v: Column, low: Column, high: Column, by_size: bool) -> Column:
+    """The place of v in its range: never falls as v rises, and the range's ends get different places.
+
+    Places are even steps, BUCKETS of them. Halves keep the width of the widest range finite; a range too narrow to be halved
+    has two places. by_size: a range around or beside zero, or whose ends differ by a factor, is told apart by sign and
+    logarithm instead (some 5,000 places for all doubles; logarithms don't fall as numbers rise, whatever their rounding).
+    """
+    place = F.floor((v / 2 - low / 2) / F.nullif(high / 2 - low / 2, F.lit(0.0)) * BUCKETS).cast("int")
+    even = F.coalesce(F.least(place, F.lit(BUCKETS - 1)), (v > low).cast("int") * (BUCKETS - 1))
+    if not by_size:
+        return even
+    size = F.floor((F.ln(F.abs(v)) + 745) * 1.4).cast("int")
+    signed = F.when(v > 0, 3000 + size).when(v < 0, 2100 - size).otherwise(2500)
+    far = (low <= 0) & (high >= 0) | (F.greatest(F.abs(low), F.abs(high)) / 16 > F.least(F.abs(low), F.abs(high)))
+    return F.when(far, signed).otherwise(even)
+
+
+def selected_quantiles(df: DataFrame, keys: Sequence[str], value: str, levels: Sequence[float], least: int = 1) -> DataFrame:
+    """exact_quantiles for groups of any size: values are selected by refining histograms, and no group is ever held together.
+
+    A level lies between two ranks. Each rank has a range of values that holds it, at first the whole group's. A pass counts the
+    values of every range in BUCKETS buckets, with the least and the largest value of each; the bucket that
+    holds the rank is its next range, until its ends are equal. Counts are summed where the rows are, so that a group of all rows
+    costs its buckets and not its rows. Buckets are even in one pass and by sign and logarithm in the next where a range is wide, so
+    that seven passes or so tell any doubles apart; usual values take two or three.
+
+    Null and NaN values take no part. keys may be empty. Infinite values are refused, since no width holds them.
+    """
+    spark = df.sparkSession
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)")
+    whole = rows.groupBy(*names).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).filter(F.col("n") >= least)
+    at = [F.lit(float(x)) * (F.col("n") - 1) for x in levels]
+    ends = F.explode(F.array_distinct(F.array(*map(F.floor, at), *map(F.ceil, at)))).alias("rank")
+    #: Of each rank: the range that holds it, and how many of the group's values lie below that.
+    ranks = first = _kept(whole.select(*names, "n", ends, "low", "high", F.lit(0).cast("long").alias("below")), "ranks")
+    done, turn = None, 0
+    while True:
+        found = ranks.filter("low = high").select(*names, "rank", F.col("low").alias("q"))
+        done = found if done is None else done.unionByName(found)
+        todo = ranks.filter("low < high").select(*names, "rank", "low", "high", "below")
+        left = ranks.agg(F.count_if(F.col("low") < F.col("high")).alias("ranks"), F.count_if((F.abs("low") == float("inf")) | (F.abs("high") == float("inf"))).alias("infinite")).first()
+        if left.infinite:
+            raise ValueError("quantiles of infinite values")
+        if not left.ranks:
+            break
+        turn += 1
+        side = todo.select(*[F.col(c).alias(f"r_{c}") for c in [*names, "low", "high"]]).distinct()
+        side = F.broadcast(side) if left.ranks <= MOST_RANGES else side
+        met = (F.col("v") >= F.col("r_low")) & (F.col("v") <= F.col("r_high"))
+        for n in names:
+            met = met & F.col(n).eqNullSafe(F.col(f"r_{n}"))
+        inside = rows.join(side, met).select(*names, F.col("r_low").alias("low"), F.col("r_high").alias("high"), "v")
+        counts = inside.groupBy(*names, "low", "high", _bucket(F.col("v"), F.col("low"), F.col("high"), turn % 2 == 0).alias("bucket")).agg(F.count("*").alias("m"), F.min("v").alias("first"), F.max("v").alias("last"))
+        up = Window.partitionBy(*names, "low", "high").orderBy("bucket")
+        counts = counts.withColumn("before", F.sum("m").over(up) - F.col("m"))
+        held = todo.join(counts.toDF(*[f"c_{c}" for c in counts.columns]), [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in [*names, "low", "high"]])
+        start = F.col("below") + F.col("c_before")
+        held = held.filter((F.col("rank") >= start) & (F.col("rank") < start + F.col("c_m")))
+        ranks = _kept(held.select(*names, "rank", F.col("c_first").alias("low"), F.col("c_last").alias("high"), start.alias("below")), "ranks")
+    level = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), x.alias("at")) for i, x in enumerate(at)])).alias("x")
+    wanted = first.select(*names, "n").distinct().select(*names, "n", level).select(*names, "n", "x.level", "x.at")
+    wanted = wanted.select("*", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"))
+    done = done.toDF(*[f"d_{c}" for c in done.columns])
+    met = wanted.join(done, [*[F.col(n).eqNullSafe(F.col(f"d_{n}")) for n in names], F.col("rank") == F.col("d_rank")])
+    share = F.when(F.floor("at") == F.ceil("at"), 1.0).when(F.col("rank") == F.floor("at"), F.ceil("at") - F.col("at")).otherwise(F.col("at") - F.floor("at"))
+    each = met.groupBy(*names, "n", "level").agg(F.sum(share * F.col("d_q")).alias("q"))
+    out = each.groupBy(*names, "n").agg(*[F.max(F.when(F.col("level") == i, F.col("q"))).alias(f"q{str(level).replace('0.', '').replace('.', '_')}") for i, level in enumerate(levels)])
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], *out.columns[len(names) :])
+
+
 def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 5) -> DataFrame:
     """Slope, intercept, r and r squared of groups with enough pairs."""
     return df.groupBy(*keys).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import columns as C
 from wattframe.operators import relational as R
+from wattframe.operators import stats as S
 from wattframe.plans.aggregates import q, r3
 from wattframe.plans.bindings import hourly, monthly, series, with_
 from wattframe.plans.domain import LADDER_SQL, bound_ladder
@@ -49,9 +50,10 @@ def qry_04_price_quantiles(spark, sf):
     p = table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year"), F.col("l_extendedprice").alias("price"))
     low = p.groupBy("year").agg(F.min("price").alias("low"))
     levels = {"p01": 0.01, "q1": 0.25, "q2": 0.5, "q3": 0.75, "p99": 0.99}
-    at = F.percentile("price", F.array(*map(F.lit, levels.values())))  # one pass over a year's values for all levels
-    y = p.join(low, "year").groupBy("year").agg(at.alias("q"), F.any_value("low").alias("low"), r3(100.0 * F.count_if(F.col("price") <= F.col("low") + 0.005) / F.count("*"), 5).alias("at_low"))
-    return y.select("year", *[r3(F.col("q")[i]).alias(k) for i, k in enumerate(levels)], "low", "at_low")
+    quantiles = S.selected_quantiles(p, ["year"], "price", list(levels.values()))
+    quantiles = quantiles.toDF("year", "n", *levels)
+    y = p.join(low, "year").groupBy("year").agg(F.any_value("low").alias("low"), r3(100.0 * F.count_if(F.col("price") <= F.col("low") + 0.005) / F.count("*"), 5).alias("at_low"))
+    return y.join(quantiles, "year").select("year", *[r3(k).alias(k) for k in levels], "low", "at_low")
 
 
 @query(f"with w as (select date_trunc('week', o_orderdate) as a, {q('avg(o_totalprice)')} as price from orders where o_orderdate < timestamp '1998-01-01' group by 1), e as (select year(a + d * interval 1 day)::int as year, price, 24.0 as h from w, (select unnest(range(0, 7)) as d)), u as (select year, sum(price * h) as x, sum(h) as h from e where year < 1998 group by 1 union all select year(o_orderdate)::int, sum(o_totalprice), count(*) from orders where o_orderdate >= timestamp '1998-01-01' group by 1) select year, {q('sum(x) / sum(h)')} as price from u group by 1")
