@@ -2,7 +2,6 @@ import datetime as dt
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from wattframe.sources import sinks, text
 from wattframe.streaming import incremental
@@ -38,21 +37,11 @@ def test_partition_guards(spark, tmp_path):
         sinks.drop_partitions(spark, path, "m", ["../x"])
 
 
-def test_upsert_refuses_null_and_repeated_keys(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sinks.replace_table(spark.createDataFrame([(1, "a")], "k int, v string"), path)
-    for bad in ([(None, "x")], [(1, "x"), (1, "y")]):
-        with pytest.raises(sinks.PartitionError):
-            sinks.upsert(spark, path, spark.createDataFrame(bad, "k int, v string"), ["k"])
-    sinks.upsert(spark, path, spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), ["k"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "b"), (2, "c")]
-
-
-def test_delete_keeps_rows_where_the_condition_is_null(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sinks.replace_table(spark.createDataFrame([(1,), (2,), (None,)], "k int"), path)
-    sinks.delete_rows(spark, path, F.col("k") == 1)
-    assert {r.k for r in spark.read.parquet(path).collect()} == {2, None}
+def test_snapshots_are_small(spark):
+    df = spark.createDataFrame([(2, None, 0.5), (1, "a", 2.0)], "k int, v string, x double")
+    assert sinks.csv_text(df, ["k"]) == "k,v,x\n1,a,2.0\n2,,0.5\n"
+    with pytest.raises(ValueError, match="more than 1"):
+        sinks.csv_text(df, ["k"], most_rows=1)
 
 
 def test_delimited_layouts(spark, tmp_path):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattframe.functions import columns as C
 from wattframe.session import scratch
 
 #: Buckets of one refinement: three passes tell 10^10 places of a range apart.
@@ -120,6 +121,24 @@ def selected_quantiles(df: DataFrame, keys: Sequence[str], value: str, levels: S
     return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], *out.columns[len(names) :])
 
 
+def block_bootstrap(df: DataFrame, keys: Sequence[str], block: str, value: str, replicas: int, seed: int) -> DataFrame:
+    """Mean of each group, and its standard error by resampling whole blocks: keys, mean, error.
+
+    Blocks are summed first. Replica r draws as many blocks as there are, the j-th by a hash of (seed, keys, r, j); draws are
+    rows that meet the blocks by a join, so that replicas are spread over tasks and any engine can draw the same.
+    """
+    parts = df.groupBy(*keys, block).agg(F.sum(value).alias("x"), F.count(value).alias("n"))
+    place = Window.partitionBy(*keys).orderBy(block)
+    parts = parts.withColumn("i", F.row_number().over(place) - 1)
+    groups = parts.groupBy(*keys).agg(F.count("*").alias("blocks"), (F.sum("x") / F.sum("n")).alias("mean"))
+    draws = groups.select(*keys, "blocks", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("r"))
+    draws = draws.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("j"))
+    key = F.concat_ws(":", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys], F.col("r").cast("string"), F.col("j").cast("string"))
+    drawn = draws.select(*keys, "r", C.drawn_index(key, F.col("blocks")).alias("i"))
+    means = drawn.join(parts, [*keys, "i"]).groupBy(*keys, "r").agg((F.sum("x") / F.sum("n")).alias("m"))
+    return groups.join(means.groupBy(*keys).agg(F.stddev_samp("m").alias("error")), list(keys)).select(*keys, "mean", "error")
+
+
 def linear_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 5) -> DataFrame:
     """Slope, intercept, r and r squared of groups with enough pairs."""
     return df.groupBy(*keys).agg(

@@ -185,20 +185,19 @@ def agg_24_argmin(spark, sf):
     return table(spark, sf, "part").groupBy("p_brand").agg(F.min_by("p_partkey", key).alias("best"))
 
 
-@query()
-def agg_25_block_bootstrap_error(spark, sf, replicas: int = 2000, seed: int = 0):
-    """Standard error of the mean by resampling whole years; one market's years are a small group."""
-    import numpy as np
-    import pandas as pd
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        years = pdf.groupby("year").value.agg(["sum", "count"]).sort_index().to_numpy()
-        drawn = np.random.default_rng(seed).integers(0, len(years), (replicas, len(years)))
-        means = years[drawn, 0].sum(axis=1) / years[drawn, 1].sum(axis=1)
-        return pd.DataFrame({"market": [key[0]], "mean": [pdf.value.mean()], "error": [means.std(ddof=1)]})
+REPLICAS, BOOTSTRAP_SEED = 2000, 0
 
+
+@query(with_("monthly") + f""", y as (select market, year, sum(x) as x, count(*)::bigint as n, row_number() over (partition by market order by year) - 1 as i, count(*) over (partition by market) as years from (select market, year(month) as year, value as x from monthly) group by 1, 2),
+k as (select distinct market, years from y), d as (select market, r, concat('0x', sha256('{BOOTSTRAP_SEED}:' || market || ':' || r || ':' || j)[1:15])::bigint % years as i from k, (select unnest(range(0, {REPLICAS})) as r), (select unnest(range(0, 100)) as j) where j < years),
+b as (select market, r, sum(x) / sum(n) as m from d join y using (market, i) group by 1, 2),
+t as (select market, sum(x) / sum(n) as mean from y group by 1)
+select market, {q('any_value(mean)')} as mean, {q('stddev_samp(m)', 6)} as error from b join t using (market) group by 1""")
+def agg_25_block_bootstrap_error(spark, sf):
+    """Standard error of the mean by resampling whole years."""
     m = monthly(spark, sf).select("market", F.year("month").alias("year"), "value")
-    return m.groupBy("market").applyInPandas(run, "market string, mean double, error double")
+    out = S.block_bootstrap(m, ["market"], "year", "value", REPLICAS, BOOTSTRAP_SEED)
+    return out.select("market", r3("mean").alias("mean"), r3("error", 6).alias("error"))
 
 
 FLOOR_SQL = """f as (select year(l_shipdate)::bigint as year, l_shipdate::date as block, l_discount * 10 + l_tax as v from lineitem),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import columns as C
 from wattframe.operators import relational as R
+from wattframe.operators import resumable
 from wattframe.operators import stats as S
 from wattframe.operators.models import boosted, ridge, smoothing
 from wattframe.operators.state_space import arima
@@ -49,18 +50,34 @@ def windows(spark: SparkSession, s: DataFrame, months: int) -> DataFrame:
     return met.select("origin", "mi", F.when(F.col("mi") <= F.col("last"), F.col("value")).alias("value"), "business")
 
 
-def model_rows(spark: SparkSession, s: DataFrame, names: list[str] | None = None, months: int = MONTHS) -> DataFrame:
-    """model, origin, horizon, forecast of the single models; a group is one origin's window."""
-    names = list(MODELS) if names is None else names
+def model_rows(spark: SparkSession, s: DataFrame, names: list[str] | None = None, months: int = MONTHS, wanted: DataFrame | None = None) -> DataFrame:
+    """model, origin, horizon, forecast of the single models; a group is one origin's window.
+
+    wanted: the only (model, origin) to fit.
+    """
+    every = list(MODELS) if names is None else names
+    shown = windows(spark, s, months)
+    if wanted is None:
+        shown = shown.withColumn("names", F.array(*map(F.lit, every)))
+    else:
+        shown = shown.join(wanted.filter(F.col("model").isin(every)).groupBy("origin").agg(F.array_sort(F.collect_set("model")).alias("names")), "origin")
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("mi")
+        pdf, names = pdf.sort_values("mi"), list(pdf.names.iloc[0])
         values, business = pdf.value.to_numpy()[:months].astype(float), pdf.business.to_numpy().astype(float)
         last = int(pdf.mi.iloc[months - 1])
         found = [pd.DataFrame({"model": n, "origin": key[0], "horizon": np.arange(1, 13), "forecast": MODELS[n](values, last, business)}) for n in names]
         return pd.concat(found)
 
-    return windows(spark, s, months).groupBy("origin").applyInPandas(run, MODEL_ROWS)
+    return shown.groupBy("origin").applyInPandas(run, MODEL_ROWS)
+
+
+def resumed_rows(spark: SparkSession, s: DataFrame, path: str, until: str | None = None, names: list[str] | None = None, months: int = MONTHS, batches: int = resumable.BATCHES) -> DataFrame:
+    """model_rows with what an earlier run left at the path; until: the last origin of this run."""
+    every = F.explode(F.array(*map(F.lit, names or list(MODELS)))).alias("model")
+    todo = windows(spark, s, months).select("origin").distinct().select(every, "origin")
+    todo = todo if until is None else todo.filter(F.col("origin") <= F.lit(until).cast("date"))
+    return resumable.resume(todo, ["model", "origin"], path, lambda keys: model_rows(spark, s, names, months, keys), batches)
 
 
 def with_means(rows: DataFrame) -> DataFrame:
@@ -148,6 +165,14 @@ def fc_13b_fitted_selection(spark, sf):
     return choices(candidate_pairs(spark, series(spark, sf))).filter("month(at) = 12")
 
 
+@query()
+def fc_23b_resumed_fits(spark, sf):
+    """Ridge fits of a run that stopped in 1999 and of the one after it."""
+    s, path = series(spark, sf), scratch(spark, "results")
+    resumed_rows(spark, s, path, "1999-06-01", ["ridge"], batches=2)
+    return resumed_rows(spark, s, path, names=["ridge"], batches=2)
+
+
 @query()
 def fc_16b_chosen_production(spark, sf):
     return production(spark, series(spark, sf))

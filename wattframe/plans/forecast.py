@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from wattframe.functions import columns as C
 from wattframe.operators import relational as R
+from wattframe.operators import resumable
 from wattframe.operators import stats as S
 from wattframe.operators.models import autoregression, boosted, ridge, smoothing
 from wattframe.plans.aggregates import ACCURACY_SQL, PAIRS_SQL, naive_pairs, q, r3
 from wattframe.plans.bindings import series, with_
 from wattframe.plans.windows import trailing_growth
 from wattframe.registry import query
+from wattframe.session import scratch
 
 GROWTH_SQL = "s as (select month, sum(value) over a as y0, count(value) over a as n0, sum(value) over b as y1, count(value) over b as n1 from series window a as (order by mi rows between 11 preceding and current row), b as (order by mi rows between 23 preceding and 12 preceding)), growth as (select month, case when n0 = 12 and n1 = 12 then round((y0 / y1)::decimal(28,9), 6)::double end as growth from s)"
 #: Fixed window of the shock in the bound series, and the months before it that define what is normal.
@@ -248,10 +250,12 @@ def fc_22_mape_by_year(spark, sf):
 
 @query(with_("series") + f", {ALL_SQL} select model, origin, count(*)::bigint as pairs from every where year(origin) >= 1999 group by 1, 2")
 def fc_23_resumable_results(spark, sf):
-    """Finished origins are left out by an anti-join, the rest is added: the sum is as if all had run at once."""
-    e = every_model(series(spark, sf)).filter("year(origin) >= 1999").groupBy("model", "origin").agg(F.count("*").alias("pairs"))
-    done = e.filter("year(origin) = 1999")
-    return done.unionByName(e.join(done, ["model", "origin"], "left_anti"))
+    """A first run does the origins of one year and stops; the next one goes on from its markers with the others."""
+    every, path = every_model(series(spark, sf)).filter("year(origin) >= 1999"), scratch(spark, "results")
+    todo = every.select("model", "origin").distinct()
+    pairs = lambda keys: every.join(keys, ["model", "origin"], "left_semi").select("model", "origin", "horizon", "p", "a")
+    resumable.resume(todo.filter("year(origin) = 1999"), ["model", "origin"], path, pairs, batches=1)
+    return resumable.resume(todo, ["model", "origin"], path, pairs, batches=1).groupBy("model", "origin").agg(F.count("*").alias("pairs"))
 
 
 @query(with_("series") + f", {ERRORS_SQL} select 'history-1' as version, 'imported' as kind, origin, horizon, e from errors where year(origin) < 1998 union all select 'v1', 'own', origin, horizon, e from errors where year(origin) >= 1998")

@@ -13,7 +13,8 @@ from wattframe.plans.aggregates import FLOOR_SQL, floors, naive_pairs, q, r3
 from wattframe.plans.bindings import series, with_
 from wattframe.plans.forecast import ERRORS_SQL, errors
 from wattframe.registry import query
-from wattframe.session import table
+from wattframe.session import scratch, table
+from wattframe.sources import locks
 
 #: Scenarios of each origin: at 0.95 the tail holds a hundred of them.
 N = 2000
@@ -414,8 +415,9 @@ def ct_12_staleness(spark, sf, as_of: str = "2001-11-15"):
 
 @query(with_("series") + f", {SPOT_SQL}, a as (select sha256(string_agg(month || '=' || value::decimal(18,3)::varchar, ';' order by month)) as h from series), b as (select sha256(string_agg(month || '=' || price::decimal(18,3)::varchar, ';' order by month)) as h from spot) select 'use' as input, h from a union all select 'price', h from b")
 def ct_13_frozen_inputs(spark, sf):
-    """Fingerprints of a decision's inputs; a run whose inputs have others is refused (see freeze)."""
-    return fingerprints(series(spark, sf), spot(spark, sf))
+    """Fingerprints that a run froze while it held the lock; a run whose inputs have others is refused."""
+    now = lambda: fingerprints(series(spark, sf), spot(spark, sf))
+    return locks.frozen_run(spark, scratch(spark, "run"), "ct_13", now, lambda lock: lock.renew())
 
 
 def fingerprints(use: DataFrame, price: DataFrame) -> DataFrame:
@@ -423,13 +425,6 @@ def fingerprints(use: DataFrame, price: DataFrame) -> DataFrame:
     return use.agg(one(use, "value").alias("h")).select(F.lit("use").alias("input"), "h").union(price.agg(one(price, "price").alias("h")).select(F.lit("price"), "h"))
 
 
-def check_frozen(now: DataFrame, frozen: DataFrame) -> None:
-    """Raises if an input differs from the frozen one."""
-    moved = [r.input for r in now.join(frozen.withColumnRenamed("h", "f"), "input", "full").filter(~F.col("h").eqNullSafe(F.col("f"))).collect()]
-    if moved:
-        raise ValueError(f"inputs differ from the frozen ones: {', '.join(sorted(moved))}")
-
-
 @query(with_("series") + f", {REAL_SQL} select count(*)::bigint as n, count(distinct (origin, strategy))::bigint as keys, count_if(month(origin) <> 12)::bigint as not_december, count_if(months <> 12)::bigint as incomplete, count_if(cost is null or cost <= 0)::bigint as bad_cost from annual")
 def ct_14_recommendation_checks(spark, sf):
     return annual(spark, sf).agg(F.count("*").alias("n"), F.count_distinct(F.struct("origin", "strategy")).alias("keys"), F.count_if(F.month("origin") != 12).alias("not_december"), F.count_if(F.col("months") != 12).alias("incomplete"), F.count_if(F.col("cost").isNull() | (F.col("cost") <= 0)).alias("bad_cost"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import urllib.error
-import zipfile
 from datetime import date
 
 import pandas as pd
@@ -17,7 +16,8 @@ from wattframe.plans.domain import staged_load
 from wattframe.plans.joins import VERSIONS_SQL, versions
 from wattframe.registry import query
 from wattframe.session import scratch, table
-from wattframe.sources import calendar, sinks, text
+from wattframe.sources import archives, calendar, loads, sinks, store, text
+from wattframe.sources import versions as versions_of
 from wattframe.streaming import incremental
 
 Z = C.ZONE
@@ -64,27 +64,28 @@ def src_03_preamble(spark, sf):
 
 @query("select n_nationkey::varchar as station, n_name as name, (n_nationkey * 1.5)::double as t from nation")
 def src_04_station_archives(spark, sf):
-    """Archives made here from the nations: four members each, latin-1, a preamble and a trailing separator."""
-    rows = [(r.n_nationkey, r.n_name) for r in table(spark, sf, "nation").select("n_nationkey", "n_name").collect()]
-    path = scratch(spark, "zips")
-    blobs = []
-    for i in range(0, len(rows), 4):
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w") as z:
-            for k, name in rows[i : i + 4]:
-                value = str(k * 1.5).replace(".", ",")
-                z.writestr(f"{k:03d}.csv", f"CODE:;{k}\nNAME:;{name}\nTEMPERATURE;HOUR;\n{value};00;\n".encode("latin-1"))
-        blobs.append((f"{i:03d}.zip", bytearray(buffer.getvalue())))
-    sc = spark.sparkContext
-    fs, _ = sinks._fs(spark, path)
-    for name, blob in blobs:
-        out = fs.create(sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
-        out.write(blob)
-        out.close()
-    read = text.read_archives(spark, path, ["temperature", "hour"], lines=2)
+    """Archives of four nations each: latin-1, a preamble of two lines, a header and a row with a trailing separator."""
+    key, path = F.col("n_nationkey"), scratch(spark, "zips")
+    value = F.replace((key * 1.5).cast("string"), F.lit("."), F.lit(","))
+    lines = F.array(F.concat(F.lit("CODE:;"), key.cast("string")), F.concat(F.lit("NAME:;"), "n_name"), F.lit("TEMPERATURE;HOUR;"), F.concat(value, F.lit(";00;")))
+    rows = table(spark, sf, "nation").select(F.floor(key / 4).alias("archive"), F.format_string("%03d.csv", key.cast("int")).alias("member"), F.posexplode(lines).alias("line", "text"))
+    archives.write_archives(rows, path, "archive", "member", "line", "text").count()
+    read = archives.read_archives(spark, path, ["temperature", "hour"], lines=2)
     return read.select(F.col("preamble")["code"].alias("station"), F.col("preamble")["name"].alias("name"), C.comma_decimal("temperature").alias("t"))
 
 
+@query("select strftime(o_orderdate, '%Y-%m') || '.csv' as member, strftime(o_orderdate, '%Y') as year, o_orderkey as id, o_totalprice::decimal(18,2)::double as total from orders")
+def src_04b_order_archives(spark, sf):
+    """An archive for each year with a member for each month; a task reads a run of members, whatever the archive."""
+    path, o = scratch(spark, "zips"), table(spark, sf, "orders")
+    rows = o.select(F.year("o_orderdate").alias("archive"), F.date_format("o_orderdate", "yyyy-MM'.csv'").alias("member"), F.col("o_orderkey").alias("line"), F.concat(F.col("o_orderkey").cast("string"), F.lit(";"), F.replace(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))).alias("text"))
+    head = rows.select("archive", "member").distinct().select("archive", "member", F.posexplode(F.array(F.concat(F.lit("YEAR:;"), F.col("archive").cast("string")), F.lit("ORDER;TOTAL"))).alias("place", "text"))
+    lines = rows.union(head.select("archive", "member", (F.col("place") - 2).cast("long"), "text"))
+    archives.write_archives(lines, path, "archive", "member", "line", "text").count()
+    read = archives.read_archives(spark, path, ["order", "total"], lines=1, split_bytes=1 << 20)
+    return read.select("member", F.col("preamble")["year"].alias("year"), C.strict("order", "bigint").alias("id"), C.comma_decimal("total").alias("total"))
+
+
 @query("select o_orderkey as id from orders where year(o_orderdate) = 1996")
 def src_06_yearly_files(spark, sf):
     """A folder per year with a declared layout: one year is read without touching the others."""
@@ -195,20 +196,47 @@ def snk_01_replace_and_append(spark, sf):
 
 @query(f"select o_orderkey, case when month = '1996-02' then o_totalprice + 1 else o_totalprice end as o_totalprice, month from ({ORDERS_MONTH})")
 def snk_02_replace_one_partition(spark, sf):
-    path, o = scratch(spark, "table"), _orders_by_month(spark, sf)
-    sinks.replace_table(o, path, "month")
-    sinks.replace_partitions(o.filter("month = '1996-02'").withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "month", ["1996-02"])
-    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("month").cast("string").alias("month"))
+    """A reader sees the old partition or the new one, at any moment."""
+    orders, o = versions_of.Table(spark, scratch(spark, "table"), "month"), _orders_by_month(spark, sf)
+    orders.replace(o)
+    orders.replace_partitions(o.filter("month = '1996-02'").withColumn("o_totalprice", F.col("o_totalprice") + 1), ["1996-02"])
+    return orders.read()
 
 
 @query(f"select month, count(*)::bigint as n from ({ORDERS_MONTH}) group by 1")
 def snk_03_parallel_load(spark, sf):
-    """All partitions in one job; counts are read back."""
+    """A load for each year, several at once, each to a folder of its own; counts are read back."""
     path = scratch(spark, "table")
-    sinks.replace_table(_orders_by_month(spark, sf), path, "month")
+    outcomes = loads.parallel(spark, _year_loads(spark, sf, path))
+    failed = [o for o in outcomes if o.state != "done"]
+    if failed:
+        raise RuntimeError(f"loads failed: {failed}")
     return spark.read.parquet(path).groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("n"))
 
 
+def _year_loads(spark, sf, path, broken=None):
+    """One load for each year of the orders; that of the broken year meets a row that it can't cast."""
+    o = _orders_by_month(spark, sf).withColumn("year", F.substring("month", 1, 4))
+    years = [r.year for r in o.select("year").distinct().orderBy("year").collect()]  # a row for each year
+
+    def load(year):
+        rows = o.filter(F.col("year") == year).drop("year")
+        if year == broken:
+            rows = rows.withColumn("o_orderkey", C.strict(F.concat(F.col("o_orderkey").cast("string"), F.lit("?")), "bigint"))
+        sinks.replace_table(rows, f"{path}/year={year}")
+
+    return {year: lambda year=year: load(year) for year in years}
+
+
+@query(f"select month[1:4] as year, case when month[1:4] = '1996' then 'failed' else 'done' end as state, case when month[1:4] = '1996' then 0 else count(*) end::bigint as n from ({ORDERS_MONTH}) group by 1")
+def snk_03b_load_report(spark, sf):
+    """One load of several fails: the report names it, and the others' rows stand."""
+    path = scratch(spark, "table")
+    outcomes = loads.report(spark, loads.parallel(spark, _year_loads(spark, sf, path, "1996")))
+    stands = spark.read.parquet(path).groupBy(F.col("year").cast("string").alias("name")).agg(F.count("*").alias("n"))
+    return outcomes.join(stands, "name", "left").select(F.col("name").alias("year"), "state", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
+
+
 @query("select true as refused")
 def snk_04_partition_guard(spark, sf):
     path, o = scratch(spark, "table"), _orders_by_month(spark, sf)
@@ -232,13 +260,13 @@ def snk_05_overwrite_listed_partitions(spark, sf):
 
 @query("select c_custkey, case when c_custkey % 10 = 0 then c_acctbal + 1000 else c_acctbal end as c_acctbal from customer union all select c_custkey + 1000000, 0.0 from customer where c_custkey % 100 = 0")
 def snk_06_upsert(spark, sf):
-    path = scratch(spark, "table")
+    customers = versions_of.Table(spark, scratch(spark, "table"))
     c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    sinks.replace_table(c, path)
+    customers.replace(c)
     changed = c.filter("c_custkey % 10 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
     new = c.filter("c_custkey % 100 = 0").select(F.col("c_custkey") + 1000000, F.lit(0.0)).toDF("c_custkey", "c_acctbal")
-    sinks.upsert(spark, path, changed.union(new), ["c_custkey"])
-    return spark.read.parquet(path)
+    customers.upsert(changed.union(new), ["c_custkey"])
+    return customers.read()
 
 
 @query("select r_regionkey, r_name, null::varchar as note from region union all select 99, 'X', 'new'")
@@ -261,21 +289,25 @@ def snk_09_json_log(spark, sf):
     return spark.read.schema("run bigint, state string").json(path)
 
 
+def _region_files(rows):
+    return rows.select(F.concat(F.lit("region="), F.col("r_regionkey").cast("string")).alias("file"), F.col("r_name").cast("binary").alias("content"))
+
+
 @query("select 'region=' || r_regionkey as file, case when r_regionkey = 0 then 'new' when r_regionkey = 1 then 'changed' else 'same' end as action from region")
 def snk_10_content_sync(spark, sf):
-    """Two folders of files, held against each other by name and content digest: one file is new, one changed."""
-    r = table(spark, sf, "region").select("r_regionkey", "r_name")
+    """The second sync of a store of files: one file is new, one changed."""
+    r, archive = table(spark, sf, "region").select("r_regionkey", "r_name"), store.Store(spark, scratch(spark, "store"))
+    archive.sync(_region_files(r.filter("r_regionkey <> 0").withColumn("r_name", F.when(F.col("r_regionkey") == 1, F.concat("r_name", F.lit("!"))).otherwise(F.col("r_name")))))
+    return archive.sync(_region_files(r))
 
-    def files(rows, name):
-        path = scratch(spark, name)
-        rows.select(F.col("r_name").alias("value"), F.col("r_regionkey").alias("region")).repartition("region").write.partitionBy("region").text(path)
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path)
-        return found.select(F.regexp_extract("path", r"(region=[^/]+)/[^/]*$", 1).alias("file"), F.md5("content").alias("digest"))
 
-    old = files(r.filter("r_regionkey <> 0"), "old")
-    new = files(r.withColumn("r_name", F.when(F.col("r_regionkey") == 1, F.concat("r_name", F.lit("!"))).otherwise(F.col("r_name"))), "new")
-    met = new.join(old.withColumnRenamed("digest", "before"), "file", "left")
-    return met.select("file", F.when(F.col("before").isNull(), "new").when(F.col("before") == F.col("digest"), "same").otherwise("changed").alias("action"))
+@query("select 'region=' || r_regionkey as file, v::int as version, case when v = 2 then r_name || '!' else r_name end as content from region, (values (1), (2), (3)) t(v) where v = 1 or r_regionkey = 1")
+def snk_10b_archived_versions(spark, sf):
+    """Three syncs: a file changes and changes back; every version is read back, contents that are equal are one."""
+    r, archive = table(spark, sf, "region").select("r_regionkey", "r_name"), store.Store(spark, scratch(spark, "store"))
+    for mark in ("", "!", ""):
+        archive.sync(_region_files(r.withColumn("r_name", F.when(F.col("r_regionkey") == 1, F.concat("r_name", F.lit(mark))).otherwise(F.col("r_name")))))
+    return archive.read().select("file", "version", F.col("content").cast("string").alias("content"))
 
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
@@ -293,12 +325,12 @@ def snk_12_manifest(spark, sf):
 
 @query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate < (select max(o_orderdate) from orders)")
 def snk_13_delete_latest(spark, sf):
-    path = scratch(spark, "table")
+    orders = versions_of.Table(spark, scratch(spark, "table"))
     o = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
-    sinks.replace_table(o, path)
+    orders.replace(o)
     last = o.agg(F.max("day").alias("d")).first().d
-    sinks.delete_rows(spark, path, F.col("day") == last)
-    return spark.read.parquet(path)
+    orders.delete(F.col("day") == last)
+    return orders.read()
 
 
 @query(f"select month, count(*)::bigint as n from ({ORDERS_MONTH}) where month not in ('1995-01', '1999-07') group by 1")

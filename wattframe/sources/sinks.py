@@ -1,16 +1,12 @@
-"""Writing: partition replacement, upserts, deletes, logs and snapshots on plain Parquet."""
+"""Writing: partition replacement and snapshots on plain Parquet folders. Tables that are replaced as a whole are in versions."""
 
 from __future__ import annotations
 
-import hashlib
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.operators.relational import upserted
-
 
 class PartitionError(ValueError):
     """Rows or tables that don't fit the declared partitions."""
@@ -76,56 +72,20 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
             fs.delete(p, True)
 
 
-def upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> None:
-    """Keyed upsert: the new table is written beside the old one and then takes its place."""
-    bad = source.groupBy(*keys).agg(F.count("*").alias("n")).filter(" or ".join([f"`{k}` is null" for k in keys] + ["n > 1"]))
-    if not bad.isEmpty():
-        raise PartitionError("upsert keys must be unique and not null")
-    if not exists(spark, path):
-        replace_table(source, path)
-        return
-    side = f"{path}__next"
-    replace_table(upserted(spark.read.parquet(path), source, keys), side)
-    swap(spark, side, path)
-
-
-def delete_rows(spark: SparkSession, path: str, doomed) -> None:
-    """Rewrites a table without the rows where the condition holds (null: they stay)."""
-    side = f"{path}__next"
-    replace_table(spark.read.parquet(path).filter(~F.coalesce(doomed, F.lit(False))), side)
-    swap(spark, side, path)
-
-
-def swap(spark: SparkSession, side: str, path: str) -> None:
-    fs, new = _fs(spark, side)
-    _, old = _fs(spark, path)
-    _, gone = _fs(spark, f"{path}__previous")
-    fs.delete(gone, True)
-    if fs.exists(old):
-        fs.rename(old, gone)
-    fs.rename(new, old)
-    fs.delete(gone, True)
-    spark.catalog.refreshByPath(path)
-
-
 def add_columns(df: DataFrame, more: DataFrame) -> DataFrame:
     """Rows of both; a column that only one has is null for the other's."""
     return df.unionByName(more, allowMissingColumns=True)
 
 
-def csv_text(df: DataFrame, order: Sequence[str]) -> str:
-    """A small result as CSV with a fixed row order, number format and line end."""
-    rows = df.orderBy(*order).collect()
+def csv_text(df: DataFrame, order: Sequence[str], most_rows: int = 100_000) -> str:
+    """A small result as CSV with a fixed row order, number format and line end; one of more rows than most_rows is refused."""
+    rows = df.orderBy(*order).limit(most_rows + 1).collect()
+    if len(rows) > most_rows:
+        raise ValueError(f"more than {most_rows} rows are no snapshot")
     plain = lambda v: "" if v is None else repr(float(v)) if isinstance(v, float) else str(v)
     return "\n".join([",".join(df.columns), *[",".join(plain(v) for v in r) for r in rows]]) + "\n"
 
 
-def append_log(path: str, entry: dict) -> None:
-    """One JSON line more in a log on the driver's disk."""
-    with open(path, "a", encoding="utf-8") as f:
-        f.write(json.dumps(entry, sort_keys=True, default=str) + "\n")
-
-
 def manifest(spark: SparkSession, tables: dict[str, DataFrame], most_rows: int = 1_000_000) -> DataFrame:
     """name, rows, fingerprint of each table; the fingerprint doesn't depend on row order and needs no sort."""
     out = None
@@ -134,10 +94,3 @@ def manifest(spark: SparkSession, tables: dict[str, DataFrame], most_rows: int =
         row = df.agg(F.count("*").alias("rows"), F.sum(h).cast("string").alias("fingerprint")).select(F.lit(name).alias("name"), "rows", "fingerprint", (F.col("rows") <= most_rows).alias("within_limit"))
         out = row if out is None else out.unionByName(row)
     return out
-
-
-def sync_bytes(old: bytes | None, new: bytes) -> str:
-    """What to do with a new version of a raw file: 'new', 'same' (skip) or 'changed' (archive the old one first)."""
-    if old is None:
-        return "new"
-    return "same" if hashlib.md5(old).digest() == hashlib.md5(new).digest() else "changed"

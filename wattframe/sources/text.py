@@ -1,17 +1,14 @@
-"""Text sources: delimited files, station archives with a preamble, repaired JSON, layouts and inventories."""
+"""Text sources: delimited files, preambles, repaired JSON, layouts and inventories."""
 
 from __future__ import annotations
 
-import io
 import re
 import time
 import unicodedata
 import urllib.error
 import urllib.request
-import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,34 +56,6 @@ def preamble(lines: Sequence[str], n: int) -> dict[str, str]:
     return {header_name(k.rstrip(":")): v.strip() for k, v in pairs}
 
 
-def read_archives(spark: SparkSession, path: str, columns: Sequence[str], lines: int = 8, encoding: str = "latin-1") -> DataFrame:
-    """Members of zip archives: a preamble, a header, rows. One task reads one archive, member by member.
-
-    Columns: member, the preamble as a map, and the declared columns as text; a trailing separator is allowed.
-    """
-    wanted = list(columns)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for content in frame.content:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    if archive.testzip():
-                        raise LayoutError("damaged archive")
-                    for member in sorted(archive.namelist()):
-                        text = archive.read(member).decode(encoding).splitlines()
-                        meta, header = preamble(text, lines), [h for h in text[lines].split(";") if h]
-                        if header_names(header) != wanted:
-                            raise LayoutError(f"unexpected columns in {member}")
-                        rows = [r.split(";")[: len(wanted)] for r in text[lines + 1 :] if r]
-                        out = pd.DataFrame(rows, columns=wanted)
-                        out.insert(0, "member", member)
-                        out.insert(1, "preamble", [meta] * len(out))
-                        yield out
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(run, "member string, preamble map<string,string>, " + ", ".join(f"`{c}` string" for c in wanted))
-
-
 def repaired_json(text):
     """Values that are missing altogether (`"x": ,` or `"x": }`) become null."""
     return F.regexp_replace(text, r":\s*(?=[,}\]])", ": null")
