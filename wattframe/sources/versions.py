@@ -111,17 +111,24 @@ class Table:
         folders = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
         return {self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(f.split("=", 1)[1]): f"{name}/{f}" for f in folders if f.startswith("__part=")}
 
-    def commit(self, base: int, parts: dict[str, str], schema: str) -> int:
-        """Publishes the version after `base`."""
-        if not publish(self.spark, f"{self.path}/_versions/{base + 1:012d}", json.dumps({"column": self.column, "schema": schema, "parts": parts}, sort_keys=True)):
-            raise Conflict(f"{self.path}: version {base + 1} is another writer's")
+    def commit(self, base: int, old: dict[str, str], new: dict[str, str], schema: str) -> int:
+        """Publishes the version after `base`: old folders and new ones. Where that is refused, the new ones go."""
+        try:
+            if both := sorted(old.keys() & new.keys()):
+                raise PartitionError(f"partitions are there already: {both[:3]}")
+            if not publish(self.spark, f"{self.path}/_versions/{base + 1:012d}", json.dumps({"column": self.column, "schema": schema, "parts": old | new}, sort_keys=True)):
+                raise Conflict(f"{self.path}: version {base + 1} is another writer's")
+        except (PartitionError, Conflict):
+            for folder in {f.partition("/__part=")[0] for f in new.values()}:
+                self._delete(folder)
+            raise
         return base + 1
 
     def replace(self, df: DataFrame, base: int | None = None) -> int:
         """All rows anew. base: the version that the caller has seen, if that was before."""
         base = self.version() if base is None else base
         self.manifest(base)
-        return self.commit(base, self._write(df), _ddl(df))
+        return self.commit(base, {}, self._write(df), _ddl(df))
 
     def append(self, df: DataFrame) -> int:
         """More rows in an unpartitioned table, or more partitions."""
@@ -129,9 +136,7 @@ class Table:
         found, new = self.manifest(base), self._write(df)
         if self.column is None:
             new = {f"{WHOLE}{base + 1}": f for f in new.values()}
-        elif both := sorted(new.keys() & found["parts"].keys()):
-            raise PartitionError(f"partitions are there already: {both[:3]}")
-        return self.commit(base, found["parts"] | new, found["schema"] or _ddl(df))
+        return self.commit(base, found["parts"], new, found["schema"] or _ddl(df))
 
     def replace_partitions(self, df: DataFrame, listed: Sequence[str]) -> int:
         """The listed partitions anew, all at once; those without rows are emptied, rows of others are refused before any write."""
@@ -143,7 +148,7 @@ class Table:
         if other:
             raise PartitionError(f"rows outside the listed partitions: {other[0][0]}")
         left = {k: f for k, f in found["parts"].items() if k not in set(listed)}
-        return self.commit(base, left | self._write(df), found["schema"] or _ddl(df))
+        return self.commit(base, left, self._write(df), found["schema"] or _ddl(df))
 
     def upsert(self, source: DataFrame, keys: Sequence[str]) -> int:
         """Rows of the source in place of those of their keys, and new ones; the table of one writer or of the other, never of both."""
