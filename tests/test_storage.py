@@ -1,10 +1,12 @@
 import datetime as dt
+import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from wattframe.sources import sinks, text
-from wattframe.streaming import incremental
+from wattframe.sources import sinks, text, versions
+from wattframe.streaming import incremental, landing
 
 
 @pytest.mark.parametrize("size", [1, 2, 3])
@@ -57,14 +59,54 @@ def test_delimited_layouts(spark, tmp_path):
         text.header_names(["a b", "A-B"])
 
 
-def test_rebuild_order_and_new_files():
+def test_rebuild_order():
     assert incremental.descendants({"a": ["b", "c"], "b": ["d"], "c": ["d"]}, "a") == ["a", "b", "c", "d"]
     with pytest.raises(ValueError, match="circle"):
         incremental.descendants({"a": ["b"], "b": ["a"]}, "a")
-    assert incremental.new_files({"x": (1, 1)}, {"x": (1, 1), "y": (2, 2)}) == ["y"]
 
 
 def test_local_months_of_a_reload():
     w = incremental.usual_reload(date(2024, 1, 15), date(2023, 9, 1))
     assert (w.first, w.last) == (date(2023, 9, 1), date(2024, 1, 1))
     assert w.bounds == (dt.datetime(2023, 9, 1, tzinfo=dt.UTC), dt.datetime(2024, 3, 1, tzinfo=dt.UTC))
+
+
+def test_a_failed_load_leaves_the_state(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    area = landing.Landing(spark, str(folder), str(tmp_path / "state"))
+    put = lambda name, text, at: ((folder / name).write_text(text), os.utime(folder / name, (at, at)))
+    seen = []
+    note = lambda files: seen.append(sorted((r.file, r.kind) for r in files.collect()))
+    put("2023.csv", "a", 1000)
+    put("2024.csv", "b", 1000)
+
+    def fails(files):
+        note(files)
+        raise ZeroDivisionError
+
+    with pytest.raises(ZeroDivisionError):
+        area.load(fails)
+    assert area.state().count() == 0
+    area.load(note)
+    assert seen == [[("2023.csv", "new"), ("2024.csv", "new")]] * 2
+    area.load(note)
+    put("2023.csv", "a", 2000)  # served anew, the same contents: its digest leaves it out
+    put("2024.csv", "bb", 2000)
+    with pytest.raises(ZeroDivisionError):
+        area.load(fails)
+    got = sorted(map(tuple, area.load(note, F.col("file") < "2024").collect()))
+    assert got == [("2023.csv", "touched"), ("2024.csv", "changed")] and seen[2:] == [[("2024.csv", "changed")]] * 2
+    put("2023.csv", "other", 3000)
+    with pytest.raises(ValueError, match="2023"):
+        area.load(note, F.col("file") < "2024")
+    assert len(seen) == 4 and area.table.version() == 2
+
+
+def test_two_loads_at_once(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("1")
+    one, two = (landing.Landing(spark, str(tmp_path / "in"), str(tmp_path / "state")) for _ in range(2))
+    with pytest.raises(versions.Conflict):
+        one.load(lambda files: two.load(lambda more: None))
+    assert one.state().count() == 1

@@ -5,10 +5,11 @@ import os
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from wattframe import registry
 from wattframe.operators import models
-from wattframe.plans import quality, scenario
+from wattframe.plans import assertions, quality, scenario
 from wattframe.plans.bindings import series
 
 SF = "/root/testdata/sf0.001"
@@ -98,3 +99,28 @@ def test_assertion_suite_counts_offending_rows(spark):
     for a in some:
         n = len(a.rows(spark, SF).collect())
         assert got[a.name] == (n, "pass" if n == 0 else a.severity)
+
+
+def _scaled(name, column, factor):
+    real = getattr(assertions, name)
+    return lambda *a: real(*a).withColumn(column, F.col(column) * factor)
+
+
+@pytest.mark.parametrize(
+    ("assertion", "broken"),
+    [("temperature_plausible", ("states", "temperature", 1e6)), ("use_reconciles", ("consumption", "mwh", 1.01)), ("price_within_limits", ("sc_07_price_transform", "shifted", 1e6)), ("sources_keep_their_rows", None), ("null_exceptions_still_there", None)],
+)
+def test_assertions_that_broken_inputs_fail(spark, monkeypatch, assertion, broken):
+    rows = getattr(assertions, assertion)
+    before = rows(spark, SF).count()
+    if broken:
+        monkeypatch.setattr(assertions, broken[0], _scaled(*broken))
+    elif assertion == "sources_keep_their_rows":
+        real = assertions.regional_orders
+        monkeypatch.setattr(assertions, "regional_orders", lambda *a: real(*a).filter("n_nationkey <> 3"))
+    else:
+        hours = spark.range(48).select(F.lit("M").alias("market"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int))").alias("hour"), F.lit(1.0).alias("load"))
+        monkeypatch.setattr(assertions, "hourly", lambda *a: hours)
+        assert rows(spark, SF).count() == 2  # both cut days are whole by now
+        return
+    assert before == 0 < rows(spark, SF).count()

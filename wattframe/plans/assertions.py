@@ -9,10 +9,10 @@ from wattframe.functions import columns as C
 from wattframe.operators import relational as R
 from wattframe.plans import quality as Q
 from wattframe.plans.aggregates import r3
-from wattframe.plans.bindings import hourly, monthly, series
+from wattframe.plans.bindings import hourly, monthly, regional_orders, series
 from wattframe.plans.domain import P, api, bound_ladder, consumption, dom_11_station_dimension, market_dimension, states, weeks
 from wattframe.plans.quality import Assertion
-from wattframe.plans.scenario import annual, bounds, spot
+from wattframe.plans.scenario import annual, bounds, sc_07_price_transform, spot
 from wattframe.registry import query
 from wattframe.session import table
 from wattframe.sources import calendar
@@ -87,8 +87,10 @@ def nulls_only_on_known_days(spark, sf):
 
 
 def null_exceptions_still_there(spark, sf):
-    known = spark.createDataFrame([], "day date")
-    return known.join(hourly(spark, sf).select(F.col("hour").cast("date").alias("day")), "day", "left_anti")
+    """The first and the last day of a market are known to be cut: which of them has all of its hours by now?"""
+    days = hourly(spark, sf).groupBy("market", F.col("hour").cast("date").alias("day")).agg(F.count("load").alias("n"))
+    ends = days.groupBy("market").agg(F.explode(F.array(F.min("day"), F.max("day"))).alias("day"))
+    return days.join(ends, ["market", "day"]).filter("n >= 24")
 
 
 def adjustment_where_due(spark, sf):
@@ -136,7 +138,9 @@ def stations_complete(spark, sf):
 
 
 def temperature_plausible(spark, sf):
-    return states(spark, sf).filter("temperature not between -10 and 1000")
+    """Means lie between the least and the largest single value of the state."""
+    e = table(spark, sf, "events").groupBy((F.col("user_id") % 3).cast("int").alias("state")).agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    return states(spark, sf).join(e, "state", "left").filter("low is null or temperature < low - 1e-3 or temperature > high + 1e-3")
 
 
 def states_match_stations(spark, sf):
@@ -163,8 +167,12 @@ def use_hours_unique(spark, sf):
 
 
 def use_reconciles(spark, sf):
-    d = consumption(spark, sf).withColumn("again", P.consumer_k * F.col("mean") * F.col("profile"))
-    return d.filter("abs(mwh - again) > 1e-5")
+    """A day's use against its mean load, taken anew from the hours of the one market."""
+    h = hourly(spark, sf)
+    mean = h.join(h.agg(F.min("market").alias("market")), "market").groupBy(C.to_local("hour").cast("date").alias("day")).agg(F.avg("load").alias("fresh"))
+    d = consumption(spark, sf).groupBy("day").agg(F.sum("mwh").alias("mwh"), F.sum("profile").alias("profile"))
+    want = P.consumer_k * F.col("fresh") * F.col("profile")
+    return d.join(mean, "day", "left").filter(F.col("fresh").isNull() | (F.abs(F.col("mwh") - want) > 1e-4 * F.abs(want) + 1e-3))
 
 
 def use_scale(spark, sf):
@@ -173,8 +181,9 @@ def use_scale(spark, sf):
 
 
 def price_within_limits(spark, sf):
-    s = spot(spark, sf).withColumn("year", F.year("month")).join(bounds(spark), "year")
-    return s.filter("price < 0 or price > cap * 10")
+    """Prices moved into the next year's terms lie within its limits."""
+    moved = sc_07_price_transform(spark, sf).withColumn("year", F.year("month") + 1).join(bounds(spark), "year", "left")
+    return moved.filter("floor is null or shifted not between floor and cap or clipped not between floor and cap")
 
 
 def weighted_between_extremes(spark, sf):
@@ -189,9 +198,8 @@ def price_months_contiguous(spark, sf):
 
 
 def sources_keep_their_rows(spark, sf):
-    h = hourly(spark, sf)
-    both = h.join(h.withColumnRenamed("load", "again"), ["market", "hour"], "full")
-    return Q.same_rows(h, both)
+    """Orders that meet their customer, nation and region are as many as there are: none lost, none twice."""
+    return Q.same_rows(table(spark, sf, "orders"), regional_orders(spark, sf))
 
 
 def grid_complete(spark, sf):

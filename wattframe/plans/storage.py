@@ -18,7 +18,7 @@ from wattframe.registry import query
 from wattframe.session import scratch, table
 from wattframe.sources import archives, calendar, loads, sinks, store, text
 from wattframe.sources import versions as versions_of
-from wattframe.streaming import incremental
+from wattframe.streaming import incremental, landing
 
 Z = C.ZONE
 
@@ -441,27 +441,18 @@ def inc_06_revision_classes(spark, sf):
 
 @query("select 'part-' || r_regionkey as file from region where r_regionkey in (0, 1)")
 def inc_07_new_files(spark, sf):
-    """A landing folder whose state (size, time) was taken before one file came and one grew."""
-    path = scratch(spark, "landing")
-    fs, folder = sinks._fs(spark, path)
-    regions = [(r.r_regionkey, r.r_name) for r in table(spark, sf, "region").select("r_regionkey", "r_name").collect()]  # five rows
-
-    def put(k, content):
-        out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/part-{k}"), True)
-        out.write(bytearray(content.encode()))
-        out.close()
-
-    def state():
-        return {x.getPath().getName(): (x.getLen(), x.getModificationTime()) for x in fs.listStatus(folder)}
-
-    for k, name in regions:
-        if k:
-            put(k, name)
-    before = state()
-    for k, name in regions:
-        if k < 2:
-            put(k, f"{name} and more")
-    return spark.createDataFrame([(f,) for f in incremental.new_files(before, state())], "file string")
+    """A landing folder, loaded; then one file comes, one grows, and one is written again as it was."""
+    folder, r = scratch(spark, "landing"), table(spark, sf, "region").select("r_regionkey", "r_name")
+    area = landing.Landing(spark, folder, scratch(spark, "state"), r"file=([^/]+)/part-[^/]*$")
+
+    def put(rows):
+        files = rows.select(F.col("r_name").alias("value"), F.concat(F.lit("part-"), F.col("r_regionkey").cast("string")).alias("file"))
+        files.repartition("file").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").text(folder)
+
+    put(r.filter("r_regionkey > 0"))
+    area.load(lambda files: None)
+    put(r.filter("r_regionkey < 3").withColumn("r_name", F.when(F.col("r_regionkey") < 2, F.concat("r_name", F.lit(" and more"))).otherwise(F.col("r_name"))))
+    return area.load(lambda files: None).filter("kind <> 'touched'").select("file")
 
 
 @query("select * from (values (1, 'raw_load'), (2, 'stg_load'), (3, 'fact_load'), (4, 'fact_monthly')) t(place, name)")

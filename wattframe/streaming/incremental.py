@@ -110,11 +110,6 @@ def affected_months(old: DataFrame, new: DataFrame, keys: list[str], value: str,
     return version_diff(old, new, keys, value, label).filter(~F.col("change").isin("same", "noise")).groupBy(C.month_of(local).alias("month"), "change").agg(F.count("*").alias("n"))
 
 
-def new_files(state: dict[str, tuple[int, int]], listing: dict[str, tuple[int, int]]) -> list[str]:
-    """Files whose size or time differ from the state of the last success. The caller stores the listing afterwards."""
-    return sorted(name for name, mark in listing.items() if state.get(name) != mark)
-
-
 def descendants(edges: dict[str, list[str]], source: str) -> list[str]:
     """What has to be built again after a source changed, parents first."""
     reach, todo = {source}, [source]
