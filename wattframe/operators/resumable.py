@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattframe.session import scratch
 from wattframe.sources.sinks import exists
 
 BATCHES = 8
@@ -39,10 +40,14 @@ def results(todo: DataFrame, keys: Sequence[str], path: str, schema) -> DataFram
 def resume(todo: DataFrame, keys: Sequence[str], path: str, compute: Callable[[DataFrame], DataFrame], batches: int = BATCHES) -> DataFrame:
     """Computes the keys of todo that have no marker at the path, and returns the rows of all finished keys.
 
-    compute: from a DataFrame of keys to their rows, keys included. Keys are dealt to batches by their hash, so that a run
-    that stops loses the batch it was at. Keys without rows are finished too. Null keys are refused.
+    The keys are written out first, since what lists them may be a long query. compute: from a DataFrame of keys to their rows,
+    keys included. Keys are dealt to batches by their hash, so that a run that stops loses the batch it was at. Keys without
+    rows are finished too. Null keys are refused.
     """
-    todo = todo.select(*keys).distinct()
+    spark, fields = todo.sparkSession, todo.select(*keys).schema
+    where = scratch(spark, "todo")
+    todo.select(*keys).distinct().write.parquet(where)
+    todo = spark.read.schema(fields).parquet(where)
     if not todo.filter(" or ".join(f"`{k}` is null" for k in keys)).isEmpty():
         raise ValueError("keys of results must not be null")
     done = finished(todo, keys, path)
