@@ -569,6 +569,32 @@ def test_near_duplicates(spark, monkeypatch):
     assert not {"sketches", "members", "links", "labels", "sets", "open", "component"} & set(left), left
 
 
+def test_pairs_just_under_the_threshold_never_become_rows(spark, monkeypatch):
+    """200 texts of which any two are alike by some 0.7: pairs would be near 20,000 rows. Two of them have a copy at 0.75 or more."""
+    rng = np.random.default_rng(75)
+    base = prose(400, 76, 10**6).split()
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for k in range(7):
+            w[57 * k + 5 + int(rng.integers(0, 48))] = f"e{i}x{k}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join([*rows[i][1].split()[:-3], "a", "b", "c"])) for i in (17, 180)]
+    made, real = {}, minhash.settle
+
+    def settle(df, name):
+        out = real(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "settle", settle)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(spark, rows)).collect()}
+    assert got == components(rows) and got[1017] == got[17] and len(set(got.values())) > 60
+    by_band = {"members", "open", "suspects"}
+    assert max(n for name, n in made.items() if name not in by_band) <= 20 * len(rows), made
+    assert max(made[name] for name in by_band & set(made)) <= minhash.BANDS * len(rows)
+
+
 def test_texts_of_one_id_share_their_links(spark):
     a, b, c, d = (prose(60, 700 + k) for k in range(4))
     rows = [(1, a), (2, b), (3, a), (3, b), (4, c), (5, c), (5, d), (6, d), (7, d), (7, prose(60, 710)), (8, a), (8, a)]

@@ -8,8 +8,9 @@
    the bucket's largest component. What isn't joined after that is screened in blocks of bounded size: members outside
    the bucket's largest component against all members of other components, each pair in its first common band only.
 4. The XOR population count of two odd sketches estimates how many minimums differ; pairs clearly under the threshold
-   go. The rest is confirmed exactly on full shingle sets, which are read again for crowded buckets' members only:
-   first the best pair of any two components, then all pairs that still lie between components.
+   go. The rest is confirmed exactly on full shingle sets, which are read again for crowded buckets' members only. A
+   block tells which members have screened pairs, the sets of these meet in blocks again, and the links that join
+   components come out: pairs of a group that is alike but under the threshold are looked at and never become rows.
 5. Components by minimum-label propagation over confirmed links, settled in the shared folder each round.
 
 At a similarity of exactly 0.75 all 70 bands miss a pair with a chance of 1e-6 and the sketch rejects it with 1e-7;
@@ -40,6 +41,8 @@ SKETCH_BITS = 1024
 MOST_BITS = 253
 #: Members of one block when a bucket is screened.
 OUTER, INNER = 1024, 4096
+#: Shingles of each side of a block when its pairs are confirmed.
+BLOCK_SHINGLES = 1 << 20
 #: Bytes of text that one step sketches.
 STEP = 1 << 20
 
@@ -194,42 +197,92 @@ def _open(members: DataFrame, component: DataFrame) -> DataFrame:
     return inside.join(mixed.select("band", "main"), "band")
 
 
-def screen_blocks(inside: DataFrame, heads: DataFrame) -> DataFrame:
-    """Screened pairs of members of different components in the same bucket, each pair once, in blocks."""
-    kind = heads.schema["id"].dataType.simpleString()
-    wide = inside.join(heads.select("id", "n_shingles", "bands", "sketch"), "id")
-    counts = inside.groupBy("band").agg(F.ceil(F.count_if(F.col("c") != F.col("main")) / OUTER).cast("int").alias("outer"), F.ceil(F.count("*") / INNER).cast("int").alias("inner"))
-    wide = wide.join(counts, "band")
+def _blocks(inside: DataFrame, heads: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Members outside their bucket's largest component and all members, each side dealt to blocks (band, i, j) in which any two of
+    them meet; with `most` a side's part holds about so many shingles."""
+    wide = inside.join(heads, "id")
+    off = F.col("c") != F.col("main")
+    heavy = lambda cond: F.sum(F.when(cond, F.col("n_shingles"))) / most if most else F.lit(0.0)
+    parts = lambda cond, rows: F.ceil(F.greatest(F.count_if(cond) / rows, heavy(cond))).cast("int")
+    wide = wide.join(wide.groupBy("band").agg(parts(off, OUTER).alias("outer"), parts(F.lit(True), INNER).alias("inner")), "band")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     outside = wide.filter("c <> main").withColumn("i", own("outer")).withColumn("j", every("inner"))
     outside = outside.select(*[F.col(c).alias(c) for c in outside.columns])
-    inner = wide.withColumn("j", own("inner")).withColumn("i", every("outer"))
-    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "apart": pa.array([], pa.int64())})
+    return outside, wide.withColumn("j", own("inner")).withColumn("i", every("outer"))
+
+
+def _near(left: pa.Table, right: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each outside member the block's members of other components that sizes and sketches let through, each pair in its first common band."""
 
     def rows(t: pa.Table) -> tuple[np.ndarray, ...]:
         flat = lambda c, n: t[c].combine_chunks().flatten().to_numpy().reshape(-1, n)
         return t["id"].to_numpy(), t["c"].to_numpy(), t["n_shingles"].to_numpy(), flat("bands", BANDS), flat("sketch", SKETCH_BITS // 64), (t["c"].to_numpy() == t["main"].to_numpy())
 
+    if not left.num_rows or not right.num_rows:
+        return
+    band = left["band"][0].as_py()
+    ids, comps, sizes, bands, odd, _ = rows(left)
+    ids2, comps2, sizes2, bands2, odd2, main2 = rows(right)
+    for k in range(len(ids)):
+        ok = (comps2 != comps[k]) & (main2 | (ids2 < ids[k])) & (100 * np.minimum(sizes2, sizes[k]) >= 75 * np.maximum(sizes2, sizes[k]))
+        at = np.flatnonzero(ok)
+        # Unsigned: of a negative number bitwise_count takes the absolute value's bits.
+        at = at[np.bitwise_count((odd2[at] ^ odd[k]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= MOST_BITS]
+        yield k, at[(bands2[at] == bands[k]).argmax(axis=1) == (bands[k] == band).argmax()]
+
+
+def suspects(inside: DataFrame, heads: DataFrame) -> DataFrame:
+    """The members (band, id, c, main) that a screened pair of different components has: they, not the pairs, are told."""
+    outside, inner = _blocks(inside, heads.select("id", "n_shingles", "bands", "sketch"))
+    kinds = {f.name: f.dataType.simpleString() for f in inside.schema}
+
+    def block(left: pa.Table, right: pa.Table) -> pa.Table:
+        here, there = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
+        for k, at in _near(left, right):
+            here[k] = len(at) > 0
+            there[at] = True
+        names = ["band", "id", "c", "main"]
+        return pa.concat_tables([left.select(names).filter(pa.array(here)), right.select(names).filter(pa.array(there))])
+
+    return outside.groupBy("band", "i", "j").cogroup(inner.groupBy("band", "i", "j")).applyInArrow(block, ", ".join(f"{c} {kinds[c]}" for c in ("band", "id", "c", "main"))).distinct()
+
+
+def link_blocks(inside: DataFrame, heads: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) between components of the same bucket, exact on full sets. A block tells one link for two components that it joins
+    and looks at no pair that its links connect already: at most one link less than it has members, whatever pairs it has looked at."""
+    kind = heads.schema["id"].dataType.simpleString()
+    full = sets.join(inside.select("id").distinct(), "id", "left_semi").distinct()
+    outside, inner = _blocks(inside, heads.select("id", "n_shingles", "bands", "sketch").join(full, "id"), BLOCK_SHINGLES)
+
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return none
-        band = left["band"][0].as_py()
-        ids, comps, sizes, bands, odd, _ = rows(left)
-        ids2, comps2, sizes2, bands2, odd2, main2 = rows(right)
-        out = []
-        for k in range(len(ids)):
-            ok = (comps2 != comps[k]) & (main2 | (ids2 < ids[k])) & (100 * np.minimum(sizes2, sizes[k]) >= 75 * np.maximum(sizes2, sizes[k]))
-            at = np.flatnonzero(ok)
-            apart = np.bitwise_count(odd2[at] ^ odd[k]).sum(axis=1, dtype=np.int64)
-            at, apart = at[apart <= MOST_BITS], apart[apart <= MOST_BITS]
-            first = (bands2[at] == bands[k]).argmax(axis=1)
-            here = bands[k][first] == band
-            at = at[here]
-            out.append((np.minimum(ids2[at], ids[k]), np.maximum(ids2[at], ids[k]), apart[here]))
-        return pa.table(dict(zip(["u", "v", "apart"], (np.concatenate(x) for x in zip(*out, strict=True)), strict=True)))
-
-    return outside.groupBy("band", "i", "j").cogroup(inner.groupBy("band", "i", "j")).applyInArrow(block, f"u {kind}, v {kind}, apart long")
+        u, v = [], []
+        if left.num_rows and right.num_rows:
+            ids, ids2 = left["id"].to_numpy(), right["id"].to_numpy()
+            size, size2 = (t["shingles"].combine_chunks().value_lengths().to_numpy().astype(np.int64) for t in (left, right))
+            word = np.unique(np.concatenate([t["shingles"].combine_chunks().flatten().to_numpy() for t in (left, right)]), return_inverse=True)[1]
+            begin, begin2 = np.cumsum(size) - size, size.sum() + np.cumsum(size2) - size2
+            root = np.unique(np.concatenate([left["c"].to_numpy(), right["c"].to_numpy()]), return_inverse=True)[1]
+            root, root2 = root[: len(ids)], root[len(ids) :]
+            mine = np.zeros(len(word), dtype=bool)
+            for k, at in _near(left, right):
+                at = at[root2[at] != root[k]]
+                if not len(at):
+                    continue
+                own = word[begin[k] : begin[k] + size[k]]
+                mine[own] = True
+                to = np.cumsum(size2[at])
+                both = np.add.reduceat(mine[word[np.repeat(begin2[at] - to + size2[at], size2[at]) + np.arange(to[-1])]], to - size2[at], dtype=np.int64)
+                mine[own] = False
+                for m in at[100 * both >= 75 * (size[k] + size2[at] - both)]:
+                    if (old := root2[m]) != root[k]:
+                        u.append(min(ids[k], ids2[m]))
+                        v.append(max(ids[k], ids2[m]))
+                        root2[root2 == old] = root[k]
+                        root[root == old] = root[k]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return outside.groupBy("band", "i", "j").cogroup(inner.groupBy("band", "i", "j")).applyInArrow(block, f"u {kind}, v {kind}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,12 +326,8 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     component = merged(component, settle(confirm(again, sets), "links"))
 
     inside = settle(_open(members, component), "open")
-    rest = settle(screen_blocks(inside, heads), "rest")
-    for last in (False, True):
-        cross = rest.join(component.toDF("u", "cu"), "u", "left").join(component.toDF("v", "cv"), "v", "left").withColumns({"cu": F.coalesce("cu", "u"), "cv": F.coalesce("cv", "v")}).filter("cu <> cv")
-        if not last:
-            cross = cross.groupBy(F.least("cu", "cv"), F.greatest("cu", "cv")).agg(F.min_by(F.struct("u", "v"), F.struct("apart", "u", "v")).alias("p")).select("p.u", "p.v")
-        component = merged(component, settle(confirm(cross.select("u", "v"), sets), "links"))
+    found = settle(suspects(inside, heads), "suspects")
+    component = merged(component, settle(link_blocks(found, heads, sets), "links"))
 
     whole = classed.join(component.withColumnRenamed("id", "class"), "class", "left").groupBy("id").agg(F.min(F.coalesce("component", "class")).alias("component"))
     out = sketched.select("id", "n_shingles").join(whole, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
