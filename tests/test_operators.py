@@ -9,7 +9,7 @@ from wattframe.operators import contract as K
 from wattframe.operators import models
 from wattframe.operators import relational as R
 from wattframe.operators import stats as S
-from wattframe.plans import domain
+from wattframe.plans import domain, joins
 from wattframe.sources import calendar
 
 
@@ -34,6 +34,23 @@ def test_overlap_join_counts_each_pair_once(spark):
     assert got == [(1, 1, 4), (1, 2, 29), (1, 3, 2)]
 
 
+def test_intervals_meet_a_calendar_without_a_shuffle(spark, tmp_path):
+    """join_10's rows by order and month aren't shuffled, however large the orders that its months come from."""
+    at = lambda *x: dt.datetime(*x)
+    spark.createDataFrame([(1, at(2024, 1, 28)), (1, at(2024, 2, 28)), (2, at(2024, 2, 1))], "l_orderkey long, l_shipdate timestamp_ntz").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(at(2024, k, 5),) for k in range(1, 5)], "o_orderdate timestamp_ntz").write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = joins.join_10_interval_overlap(spark, str(tmp_path))
+        got = sorted((r.id, r.month.month, r.days) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [(1, 1, 4), (1, 2, 29), (1, 3, 1), (2, 2, 3)]
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_closing_run_needs_a_next_month(spark):
     rows = [("a", m, f) for m, f in [(1, True), (2, False), (3, True), (4, True), (5, False)]] + [("b", 1, False), ("b", 2, True)]
     got = {r.k: r.closed_at for r in R.closing_run(spark.createDataFrame(rows, "k string, m int, f boolean"), "k", "m", "f", 2).collect()}

@@ -43,15 +43,17 @@ def interval_end(df: DataFrame, entity: str | None, start: str, fallback: Column
     return df.withColumn(end, F.coalesce(F.lead(start).over(window.orderBy(start)), fallback))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, a_start: str, a_end: str, b_start: str, b_end: str, bucket: str = "month") -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, a_start: str, a_end: str, b_start: str, b_end: str, bucket: str = "month", calendar: bool = False) -> DataFrame:
     """Pairs of intervals [start, end) that overlap, with the overlap's ends.
 
     Both sides meet in buckets of time (an equi-join), and a pair counts in the bucket where its overlap starts, so that long
-    intervals neither multiply rows nor need a nested loop.
+    intervals neither multiply rows nor need a nested loop. Where b is a calendar (its rows are bounded by time, not by the
+    data), it is broadcast: a's rows, one for each bucket that they touch, are then never shuffled.
     """
     cut = lambda c: F.date_trunc(bucket, F.col(c)).cast("timestamp_ntz")
     spread = lambda df, s, e: df.filter(F.col(s) < F.col(e)).withColumn("__bucket", F.explode(F.sequence(cut(s), cut(e), F.expr(f"interval 1 {bucket}"))))
-    met = spread(a, a_start, a_end).join(spread(b, b_start, b_end), "__bucket")
+    other = spread(b, b_start, b_end)
+    met = spread(a, a_start, a_end).join(F.broadcast(other) if calendar else other, "__bucket")
     met = met.withColumn("overlap_start", F.greatest(a_start, b_start)).withColumn("overlap_end", F.least(a_end, b_end))
     return met.filter((F.col("overlap_start") < F.col("overlap_end")) & (cut("overlap_start") == F.col("__bucket"))).drop("__bucket")
 
