@@ -11,7 +11,7 @@ from wattframe.operators import contract as K
 from wattframe.operators import models
 from wattframe.operators import relational as R
 from wattframe.operators import stats as S
-from wattframe.plans import domain, joins
+from wattframe.plans import bindings, domain, joins
 from wattframe.sources import calendar
 
 
@@ -36,6 +36,20 @@ def test_overlap_join_counts_each_pair_once(spark):
     assert got == [(1, 1, 4), (1, 2, 29), (1, 3, 2)]
 
 
+def test_entities_are_written_once_inside(spark, tmp_path):
+    """Branches that share a monthly series read its table, not the orders again; outside nothing is kept."""
+    at = lambda *x: dt.datetime(*x)
+    spark.createDataFrame([(at(2024, k % 3 + 1, 5), float(k)) for k in range(9)], "o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    sf = str(tmp_path)
+    plain = bindings.series(spark, sf)
+    with bindings.written_once():
+        one, two = bindings.series(spark, sf), bindings.series(spark, sf)
+    for df in (one, two, one.join(two.select("month"), "month").select(one.columns)):
+        assert sorted(df.collect()) == sorted(plain.collect()) and df.columns == plain.columns
+    assert one.inputFiles() == two.inputFiles() and not any("orders" in f for f in one.inputFiles())
+    assert all("orders" in f for f in bindings.series(spark, sf).inputFiles())
+
+
 def test_scenarios_pair_without_making_pairs(spark, tmp_path):
     """join_17 with repeated keys and nulls: as its SQL has it, and no join in the plan."""
     rows = [(1, 1, 2.0, 1.0), (1, 1, 3.0, 1.0), (1, 2, 5.0, 1.0), (2, 1, 4.0, 1.0), (2, 2, None, 1.0), (3, 2, 1.0, 1.0), (4, 1, None, 1.0), (None, 1, 1.0, 1.0), (5, None, 1.0, 1.0), (5, 1, 7.0, None)]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.functions import columns as C
-from wattframe.session import table
+from wattframe.session import scratch, table
 
 ROUND3 = "round(({})::decimal(28,9), 3)::double"
 
@@ -22,6 +26,39 @@ def with_(*names: str) -> str:
     return "with " + ", ".join(CTES[n] for n in names) + " "
 
 
+#: Tables written so far by name and folder, one dictionary for each written_once() around.
+_written: list[dict[tuple[str, str], DataFrame]] = []
+
+
+@contextmanager
+def written_once() -> Iterator[None]:
+    """Inside, entities marked with `shared` are made once and written to the shared folder: a plan of many branches then reads these
+    small tables instead of scanning the inputs in each branch."""
+    _written.append({})
+    try:
+        yield
+    finally:
+        _written.pop()
+
+
+def shared(entity: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Marks an entity (spark, sf) whose rows are bounded by the calendar and not by the data."""
+
+    @wraps(entity)
+    def once(spark, sf, *more, **named):
+        if not _written or more or named:
+            return entity(spark, sf, *more, **named)
+        key = (entity.__name__, sf)
+        if key not in _written[-1]:
+            df, path = entity(spark, sf), scratch(spark, entity.__name__)
+            df.write.parquet(path)
+            _written[-1][key] = spark.read.schema(df.schema).parquet(path)
+        return _written[-1][key].select("*")
+
+    return once
+
+
+@shared
 def hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly load by market: market, hour, load."""
     e = table(spark, sf, "events")
@@ -34,11 +71,13 @@ def regional_orders(spark: SparkSession, sf: str) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
 
 
+@shared
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly mean by market: market, month, value, n."""
     return regional_orders(spark, sf).groupBy(F.col("r_name").alias("market"), C.month_of("o_orderdate").alias("month")).agg(C.stable_round(F.avg("o_totalprice")).alias("value"), F.count("*").alias("n"))
 
 
+@shared
 def series(spark: SparkSession, sf: str) -> DataFrame:
     """One monthly series: month, value, mi (month index)."""
     out = table(spark, sf, "orders").groupBy(C.month_of("o_orderdate").alias("month")).agg(C.stable_round(F.avg("o_totalprice")).alias("value"))

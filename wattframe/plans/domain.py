@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wattframe.functions import columns as C
 from wattframe.operators import relational as R
 from wattframe.plans.aggregates import q, r3
-from wattframe.plans.bindings import hourly, monthly, with_
+from wattframe.plans.bindings import hourly, monthly, with_, shared
 from wattframe.plans.scalars import EASTER_SQL, YEARS_SQL
 from wattframe.registry import query
 from wattframe.session import table
@@ -69,6 +69,7 @@ def dom_02_staged_hourly_price(spark, sf):
 WEEKS = "w as (select date_trunc('week', o_orderdate) as week, o_orderstatus as kind, round(avg(o_totalprice)::decimal(28,9), 3)::double as price from orders group by 1, 2)"
 
 
+@shared
 def weeks(spark, sf):
     o = table(spark, sf, "orders")
     return o.groupBy(F.date_trunc("week", "o_orderdate").cast("timestamp_ntz").alias("week"), F.col("o_orderstatus").alias("kind")).agg(r3(F.avg("o_totalprice")).alias("price"))
@@ -106,6 +107,7 @@ g as (select s.state, h.utc, o.temperature, coalesce(o.stations, 0) as stations
 states as (select state, utc, coalesce(temperature, last) as temperature, temperature is null and last is not null as imputed, stations from (select *, last_value(temperature ignore nulls) over (partition by state order by utc rows between 3 preceding and 1 preceding) as last from g))"""
 
 
+@shared
 def states(spark, sf):
     e = table(spark, sf, "events").filter(~F.hour("ts").isin(3, 4))
     o = e.groupBy((F.col("user_id") % 3).cast("int").alias("state"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("utc")).agg(r3(F.avg("value")).alias("temperature"), F.count("value").alias("stations"))
@@ -282,6 +284,7 @@ def ladder(m: DataFrame, valid: DataFrame, expected: DataFrame, api: DataFrame,
     )
 
 
+@shared
 def bound_ladder(spark, sf) -> DataFrame:
     m = monthly(spark, sf)
     valid = table(spark, sf, "orders").groupBy(C.month_of("o_orderdate").alias("month")).agg(F.count_distinct(F.col("o_orderdate").cast("date")).alias("valid")).join(m.select("market", "month"), "month")
@@ -302,6 +305,7 @@ shop as (select *, case when sunday then {P.open_sunday[1] - P.open_sunday[0]} e
 consumption as (select hour, day, mean, is_open, {q(f'case when is_open then {P.base_share} + (1 - {P.base_share}) * 24 / hours_open else {P.base_share} end', 6)} as profile, {q(f'{P.consumer_k} * mean * (case when is_open then {P.base_share} + (1 - {P.base_share}) * 24 / hours_open else {P.base_share} end)', 6)} as mwh from shop)"""
 
 
+@shared
 def consumption(spark, sf, p: Parameters = P) -> DataFrame:
     """Hourly use of a consumer: k times the local day's mean load times a profile of opening hours.
 

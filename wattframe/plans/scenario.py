@@ -10,7 +10,7 @@ from wattframe.operators import contract as K
 from wattframe.operators import relational as R
 from wattframe.operators import stats as S
 from wattframe.plans.aggregates import FLOOR_SQL, floors, naive_pairs, q, r3
-from wattframe.plans.bindings import series, with_
+from wattframe.plans.bindings import series, with_, shared
 from wattframe.plans.forecast import ERRORS_SQL, errors
 from wattframe.registry import query
 from wattframe.session import scratch, table
@@ -107,6 +107,7 @@ LIMITS = [(1995, 40.0, 250.0), (1996, 42.5, 255.0), (1997, 45.0, 260.0), (1998,
 LIMITS_SQL = "limits(year, floor, cap) as (values " + ", ".join(f"({y}, {a}::double, {b}::double)" for y, a, b in LIMITS) + "), bounds as (select y as year, coalesce(l.floor, t.floor) as floor, coalesce(l.cap, t.cap) as cap, y > 2000 as assumed from (select unnest(range(1995, 2005)) as y) left join limits l on l.year = y cross join (select floor, cap from limits order by year desc limit 1) t)"
 
 
+@shared
 def spot(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem")
     out = li.groupBy(C.month_of("l_shipdate").alias("month")).agg(r3(F.sum("l_extendedprice") / F.sum("l_quantity") / 10).alias("price"))

@@ -10,7 +10,7 @@ from wattframe.operators import contract as K
 from wattframe.operators import stats as S
 from wattframe.plans import scenario
 from wattframe.plans.aggregates import naive_pairs, q, r3
-from wattframe.plans.bindings import series, with_
+from wattframe.plans.bindings import series, with_, written_once
 from wattframe.plans.scenario import ALPHA, BAND, DRAW, HOURS, KNOWN_SQL, N, SCALE, SENSITIVITIES, SPREAD
 from wattframe.registry import query
 from wattframe.session import scratch
@@ -88,7 +88,8 @@ def backtest(spark, sf, chosen: DataFrame) -> DataFrame:
 
 def settled_backtest(spark, sf) -> DataFrame:
     path = scratch(spark, "sensitivities")
-    backtest(spark, sf, variant_decisions(spark, sf)).write.parquet(path)
+    with written_once():
+        backtest(spark, sf, variant_decisions(spark, sf)).write.parquet(path)
     return spark.read.parquet(path)
 
 
